@@ -28,27 +28,29 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.when(size == 0, F.lit(0.0)).otherwise(dot(a, b) / size)
 
 
+def _divide(a: Column, size: Column) -> Column:
+    # The divisor is laid out beside the values, so it is computed once per vector.
+    return F.zip_with(a, F.array_repeat(size, F.size(a)), lambda x, s: x / s)
+
+
 def l2_normalize(a: Column | str, floor: float = 1e-12) -> Column:
     """Divide by the length, which is taken as at least ``floor``."""
-    size = F.greatest(norm(a), F.lit(floor))
-    return F.transform(_doubles(a), lambda x: x / size)
+    return _divide(_doubles(a), F.greatest(norm(a), F.lit(floor)))
 
 
 def l2_normalize_plus(a: Column | str, epsilon: float = 1e-12) -> Column:
     """Divide by the length plus ``epsilon``."""
-    size = norm(a) + F.lit(epsilon)
-    return F.transform(_doubles(a), lambda x: x / size)
+    return _divide(_doubles(a), norm(a) + F.lit(epsilon))
 
 
 def masked_mean(vectors: Column | str, mask: Column | str) -> Column:
     """Element-wise mean of the vectors whose mask is 1 (token vectors of one text)."""
     vectors, mask = (F.col(c) if isinstance(c, str) else c for c in (vectors, mask))
-    kept = F.filter(F.arrays_zip(vectors.alias("v"), mask.alias("m")), lambda s: s["m"] == 1)
-    kept = F.transform(kept, lambda s: s["v"].cast("array<double>"))
-    width = F.size(F.element_at(vectors, 1))
-    zero = F.array_repeat(F.lit(0.0), width)
+    masked = F.zip_with(vectors, mask, lambda v, m: F.when(m == 1, v.cast("array<double>")))
+    kept = F.array_compact(masked)
+    zero = F.array_repeat(F.lit(0.0), F.size(F.element_at(vectors, 1)))
     total = F.aggregate(kept, zero, lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y))
-    return F.transform(total, lambda x: x / F.greatest(F.size(kept), F.lit(1)))
+    return _divide(total, F.greatest(F.size(kept), F.lit(1)).cast("double"))
 
 
 def argmax(scores: Column | str) -> Column:
