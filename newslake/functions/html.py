@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from newslake.functions.text import collapse
 
@@ -164,13 +165,13 @@ def main_text_of(html: str | None) -> str:
     return _tidy(reader.found[body]) if body in reader.found else text_of(html)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def clean_html(html: pd.Series) -> pd.Series:
     """Visible text of HTML, blanks collapsed; NULL gives ''."""
     return html.map(text_of, na_action=None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def extract_main_content(html: pd.Series) -> pd.Series:
     """Main text of a fetched page; NULL gives ''."""
     return html.map(main_text_of, na_action=None)
