@@ -44,16 +44,19 @@ def top_terms_by_group(docs: DataFrame, group: str, tokens: str = "tokens", k: i
 
     The weight of a term is the same in all documents, so the documents are never
     brought together again: one shuffle of ``(group, term)`` counts, added up in
-    the map tasks, carries everything.  A term's first place in its document
-    counts for the document frequency.
+    the map tasks, carries everything.  Each token counts for the term frequency,
+    each distinct token of a document once more for the document frequency.
     """
     total = docs.agg(F.count("*").alias("n")).scalar()
-    occurrences = docs.select(group, F.explode(tokens).alias("term")).groupBy(group, "term")
-    tf = occurrences.agg(F.count("*").alias("tf"))
-    once = docs.select(group, F.explode(F.array_distinct(tokens)).alias("term")).groupBy(group, "term")
-    df_group = once.agg(F.count("*").alias("df_group"))
-    both = tf.join(df_group, [group, "term"])
-    df = df_group.groupBy("term").agg(F.sum("df_group").alias("df"))
+
+    def marked(words, tf: int, df: int):
+        return F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
+
+    tokens = F.col(tokens)
+    listed = F.concat(marked(tokens, 1, 0), marked(F.array_distinct(tokens), 0, 1))
+    counts = docs.select(group, F.explode(listed).alias("t")).select(group, "t.*")
+    both = counts.groupBy(group, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df_group"))
+    df = both.groupBy("term").agg(F.sum("df_group").alias("df"))
     scored = both.join(df, "term").withColumn("idf", _idf(total))
     scored = scored.withColumn("score", F.round(F.col("tf") * F.col("idf"), 6))
     best = top_per_key(scored, [group], [F.desc("score"), "term"], k)
