@@ -18,9 +18,10 @@ def fetch_outcomes(requests: DataFrame, pages: DataFrame) -> DataFrame:
     ``pages`` the fetched bodies ``(link, status, html)``, one per link.  A page
     counts as fetched if its status is 200 and it is neither blocked nor behind a
     paywall.  The output adds ``content, raw_length, cleaned_length,
-    fetch_status, error``.
+    fetch_status, error``, and keeps an arrival number ``seq`` if there is one.
     """
     items = requests.select(
+        *[c for c in ("seq",) if c in requests.columns],
         strip(F.coalesce("title", F.lit(""))).alias("title"),
         strip(F.coalesce("link", F.lit(""))).alias("link"),
         F.coalesce("publish_date", F.lit("")).alias("publish_date"),
@@ -41,6 +42,7 @@ def fetch_outcomes(requests: DataFrame, pages: DataFrame) -> DataFrame:
     found = F.coalesce("usable", F.lit(False)) & ~F.col("skipped")
     filled = found & (F.length("text") > 0)
     return joined.select(
+        *[c for c in ("seq",) if c in requests.columns],
         F.when(F.col("title") == "", F.lit("<missing>")).otherwise(F.col("title")).alias("title"),
         F.when(F.col("link") == "", F.lit("<missing>")).otherwise(F.col("link")).alias("link"),
         "publish_date",
