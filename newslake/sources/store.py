@@ -95,6 +95,55 @@ class SnapshotStore:
         return version
 
 
+class ArticleLog:
+    """The article store of a stream: a base snapshot and the changes since.
+
+    A batch only appends its own rows, so its cost does not grow with the store.
+    Readers see base and changes merged; :meth:`compact` makes that the new base.
+    A batch that runs again replaces its own rows and nothing else.
+    """
+
+    CHANGES = [
+        "seq", "link", "title", "publish_date", "source", "category", "content", "full_content", "full_content_status"
+    ]
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.base = SnapshotStore(spark, f"{self.path}/base")
+        self.batches = SnapshotStore(spark, f"{self.path}/changes")
+
+    def append(self, incoming: DataFrame, batch_id: int) -> None:
+        """Write the rows of a batch; ``seq`` orders them inside it."""
+        self.batches.write(incoming.select(self.CHANGES), batch_id)
+
+    def _changes(self, after: int) -> DataFrame | None:
+        paths = [f"{self.batches.path}/v={b}" for b in self.batches.versions() if b > after]
+        if not paths:
+            return None
+        rows = self.spark.read.option("basePath", self.batches.path).parquet(*paths)
+        return rows.withColumn("seq", F.shiftleft(F.col("v").cast("long"), 40) + F.col("seq")).drop("v")
+
+    def current(self) -> DataFrame:
+        """All articles as of the last batch."""
+        from newslake.operators.merge import STORED, merge_articles
+
+        known = self.base.versions()
+        schema = ", ".join(f"{c} string" for c in STORED)
+        stored = self.base.read() if known else self.spark.createDataFrame([], f"id long, {schema}")
+        changes = self._changes(known[-1] if known else -1)
+        if changes is None:
+            return stored
+        return merge_articles(stored, changes).drop("inserted", "updated")
+
+    def compact(self) -> int | None:
+        """Write base and changes as the new base; its number is the last batch in it."""
+        done = self.batches.versions()
+        if not done or done[-1] in self.base.versions():
+            return None
+        return self.base.write(self.current(), done[-1])
+
+
 def latest_processed_id(processed: DataFrame) -> DataFrame:
     """One row with the highest processed article id, 0 for an empty table."""
     return processed.agg(F.coalesce(F.max("article_id"), F.lit(0)).alias("latest_id"))

@@ -10,11 +10,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from newslake.functions.dates import now_iso
 from newslake.operators.enrich import enrich_or_fall_back, fetch_outcomes, successful
-from newslake.operators.merge import STORED, merge_articles
 from newslake.operators.ordering import number_rows
 from newslake.schemas import ITEM_MESSAGE
 from newslake.session import cut_lineage
-from newslake.sources.store import SnapshotStore
+from newslake.sources.store import ArticleLog
 from newslake.sources.streams import keyed_json, parse_json
 
 
@@ -60,13 +59,14 @@ def _incoming(enriched: DataFrame) -> DataFrame:
 
 
 class EnrichmentJob:
-    """One micro-batch at a time: merge into the store, publish, raise alerts.
+    """One micro-batch at a time: append to the store, publish, raise alerts.
 
     Every write goes to a place named after the batch and replaces what is there,
-    so a batch that runs again leaves the same result.
+    so a batch that runs again leaves the same result.  Nothing outside the batch
+    is rewritten; the store is compacted by a job of its own.
     """
 
-    def __init__(self, store: SnapshotStore, pages: DataFrame, cleaned_path: str, alerts_path: str):
+    def __init__(self, store: ArticleLog, pages: DataFrame, cleaned_path: str, alerts_path: str):
         self.store = store
         self.pages = pages
         self.cleaned_path = cleaned_path.rstrip("/")
@@ -74,14 +74,9 @@ class EnrichmentJob:
 
     def run_batch(self, raw: DataFrame, batch_id: int) -> None:
         good, bad = split_messages(raw)
+        # Three sinks read the batch; the checkpoint makes them see the same rows.
         enriched = cut_lineage(to_cleaned(enrich_messages(good, self.pages)))
-        incoming = _incoming(enriched)
-        version = batch_id + 1
-        stored = self.store.before(version)
-        if stored is None:
-            stored = incoming.limit(0).select(F.lit(0).cast("long").alias("id"), *STORED)
-        merged = merge_articles(stored.select("id", *STORED), incoming)
-        self.store.write(merged.drop("inserted", "updated"), version)
+        self.store.append(_incoming(enriched), batch_id)
         keyed_json(enriched).write.mode("overwrite").json(f"{self.cleaned_path}/batch={batch_id}")
         keyed_json(bad.withColumn("ts", now_iso()), None).write.mode("overwrite").json(
             f"{self.alerts_path}/batch={batch_id}"
@@ -91,7 +86,6 @@ class EnrichmentJob:
         return raw.writeStream.foreachBatch(self.run_batch).option("checkpointLocation", checkpoint)
 
 
-
 def stop_after(process: Callable[[DataFrame, int], None], batches: int) -> tuple[Callable, Callable]:
     """Wrap a batch function and get a check that tells when enough batches ran."""
     done = {"n": 0}
