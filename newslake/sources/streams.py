@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.dates import now_iso
-from newslake.schemas import FEED_ITEM_KEYS
+from newslake.schemas import FEED_ITEM_KEYS, ITEM_MESSAGE
 
 # Topic names and how long each keeps its messages.
 ITEMS_TOPIC = "rss.items"
@@ -69,17 +69,12 @@ def build_messages(items: DataFrame, message_id: Column | None = None, fetched_a
         "category": F.coalesce("category", F.lit("uncategorized")),
         "content": F.coalesce("content", F.lit("")),
     }
-    body = items.select(*[filled[k].alias(k) for k in FEED_ITEM_KEYS])
-    return body.withColumnRenamed("content", "summary").select(
-        (F.uuid() if message_id is None else message_id).alias("id"),
-        "title",
-        "link",
-        "publish_date",
-        "source",
-        "category",
-        "summary",
+    body = items.select(
+        *[filled[k].alias(k) for k in FEED_ITEM_KEYS],
         (now_iso() if fetched_at is None else fetched_at).alias("fetched_at"),
-    )
+    ).withColumnRenamed("content", "summary")
+    identified = body.withColumn("id", F.uuid() if message_id is None else message_id)
+    return identified.select(*ITEM_MESSAGE.fieldNames())
 
 
 def stable_message_id(link: str = "link", fetched_at: str = "fetched_at") -> Column:
