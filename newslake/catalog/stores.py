@@ -325,17 +325,13 @@ ENRICH_STORE_SQL = f"""WITH {ARTICLES_SQL}, {STORED_SQL}, ok AS (
     SELECT *, row_number() OVER (PARTITION BY link ORDER BY seq) AS n FROM ok WHERE content <> '') WHERE n = 1
 ), uniq AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY seq) AS m FROM by_link) WHERE m = 1
+), english AS (
+  SELECT link FROM stored WHERE category = 'en'
 )
 SELECT (SELECT count(*) FROM documents) AS requested, (SELECT count(*) FROM uniq) AS fetched_full,
        (SELECT count(*) FROM documents) - (SELECT count(*) FROM ok WHERE content <> '') AS failed_full,
-       (SELECT count(*) FROM uniq WHERE link NOT IN (SELECT link FROM half)) AS saved,
-       (SELECT count(*) FROM ok WHERE content <> '') - (SELECT count(*) FROM uniq) AS skipped_duplicates
-FROM (SELECT 1), (SELECT 1)""".replace(
-    "FROM (SELECT 1), (SELECT 1)", ""
-).replace(
-    "uniq AS (",
-    "half AS (SELECT link FROM stored WHERE category = 'en'), uniq AS (",
-)
+       (SELECT count(*) FROM uniq WHERE link NOT IN (SELECT link FROM english)) AS saved,
+       (SELECT count(*) FROM ok WHERE content <> '') - (SELECT count(*) FROM uniq) AS skipped_duplicates"""
 
 
 @query("enrich_and_store", ENRICH_STORE_SQL)
