@@ -151,19 +151,19 @@ def health_alerts(spark, sf):
     return raised(spark, sf).select(at(), "alert_type", "message")
 
 
-@query(
-    "alerts_cooldown",
-    """WITH RECURSIVE raised AS (
-      SELECT DISTINCT event_type, ts FROM events
-    ), sent AS (
-      SELECT event_type, min(ts) AS ts FROM raised GROUP BY event_type
-      UNION ALL
-      SELECT s.event_type, (SELECT min(r.ts) FROM raised r
-                            WHERE r.event_type = s.event_type AND r.ts >= s.ts + INTERVAL 6 HOUR)
-      FROM sent s WHERE s.ts IS NOT NULL
-    )
-    SELECT event_type AS alert_type, epoch_us(ts) AS micros FROM sent WHERE ts IS NOT NULL""",
+COOLDOWN_SQL = """WITH RECURSIVE raised AS (
+  SELECT DISTINCT event_type, ts FROM events
+), sent AS (
+  SELECT event_type, min(ts) AS ts FROM raised GROUP BY event_type
+  UNION ALL
+  SELECT s.event_type, (SELECT min(r.ts) FROM raised r
+                    WHERE r.event_type = s.event_type AND r.ts >= s.ts + INTERVAL 6 HOUR)
+  FROM sent s WHERE s.ts IS NOT NULL
 )
+SELECT event_type AS alert_type, epoch_us(ts) AS micros FROM sent WHERE ts IS NOT NULL"""
+
+
+@query("alerts_cooldown", COOLDOWN_SQL)
 def alerts_cooldown(spark, sf):
     """Every event as an alert of its type; the pause is six hours."""
     rows = table(spark, sf, "events").select(

@@ -14,22 +14,22 @@ from newslake.operators.health import COOLDOWN
 def cool_down_stream(raised: DataFrame, seconds: int = COOLDOWN) -> DataFrame:
     """Alerts that are sent, with the last sending time of each type as state.
 
-    ``raised`` is ``(timestamp, alert_type, message)`` and must arrive in time order.
+    ``raised`` has a ``timestamp`` and an ``alert_type``; its micro-batches must arrive in time order.
     """
     pause = pd.Timedelta(seconds=seconds)
 
     def send(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        for part in parts:
-            ordered = part.sort_values("timestamp", kind="stable")
-            sent = []
-            for place, at in enumerate(ordered["timestamp"]):
-                if last is None or at - last >= pause:
-                    sent.append(place)
-                    last = at
-            yield ordered.iloc[sent]
+        # What one micro-batch brings of a type may come in several parts, in any order.
+        ordered = pd.concat(list(parts)).sort_values("timestamp", kind="stable")
+        sent = []
+        for place, at in enumerate(ordered["timestamp"]):
+            if last is None or at - last >= pause:
+                sent.append(place)
+                last = at
+        yield ordered.iloc[sent]
         if last is not None:
-            state.update((last.value // 1000,))
+            state.update((int(last.value) // 1000,))
 
     return raised.groupBy("alert_type").applyInPandasWithState(
         send, raised.schema, "last long", "append", GroupStateTimeout.NoTimeout
