@@ -30,7 +30,7 @@ CHECKS_SQL = """hours AS (
          week AS (ORDER BY ts RANGE BETWEEN INTERVAL '604799.999999' SECOND PRECEDING
                                         AND INTERVAL '0.000001' SECOND PRECEDING)
 ), scored AS (
-  SELECT strftime(ts, '%Y-%m-%d %H:%M') AS at, ts, total, enriched, coverage, error_count,
+  SELECT strftime(ts, '%Y-%m-%d %H:%M') AS checked_at, ts, total, enriched, coverage, error_count,
          CAST(CASE WHEN h_n >= 2 THEN h_last - h_first ELSE 0 END AS BIGINT) AS growth,
          CASE WHEN w_n >= 2 AND d_n > 0 THEN CAST(d_errors AS DOUBLE) / d_n ELSE 0.0 END AS error_rate,
          CASE WHEN w_n >= 1 THEN CAST(d_errors + error_count AS DOUBLE) / (d_n + 1) ELSE 0.0 END AS error_rate_now
@@ -55,14 +55,14 @@ def checks(spark, sf):
     )
 
 
-def at(column="timestamp"):
-    return F.date_format(column, "yyyy-MM-dd HH:mm").alias("at")
+def checked_at(column="timestamp"):
+    return F.date_format(column, "yyyy-MM-dd HH:mm").alias("checked_at")
 
 
-@query("health_checks", f"WITH {CHECKS_SQL} SELECT at, total, enriched, coverage, error_count FROM scored")
+@query("health_checks", f"WITH {CHECKS_SQL} SELECT checked_at, total, enriched, coverage, error_count FROM scored")
 def health_checks(spark, sf):
     return checks(spark, sf).select(
-        at(),
+        checked_at(),
         F.col("database_total").alias("total"),
         F.col("database_enriched").alias("enriched"),
         F.col("coverage_percentage").alias("coverage"),
@@ -74,7 +74,7 @@ def health_checks(spark, sf):
 DENSE_SQL = """dense AS (
   SELECT ts, CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS total FROM events
 ), d AS (
-  SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS at, date_trunc('minute', ts) AS ts, max(total) AS total
+  SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS checked_at, date_trunc('minute', ts) AS ts, max(total) AS total
   FROM dense GROUP BY 1, 2
 )"""
 
@@ -82,7 +82,7 @@ DENSE_SQL = """dense AS (
 @query(
     "health_growth",
     f"""WITH {DENSE_SQL}
-    SELECT at, total, CAST(CASE WHEN count(*) OVER h >= 2 THEN last(total) OVER h - first(total) OVER h ELSE 0 END
+    SELECT checked_at, total, CAST(CASE WHEN count(*) OVER h >= 2 THEN last(total) OVER h - first(total) OVER h ELSE 0 END
                            AS BIGINT) AS growth
     FROM d WINDOW h AS (ORDER BY ts RANGE BETWEEN INTERVAL '3599.999999' SECOND PRECEDING
                                               AND INTERVAL '0.000001' SECOND PRECEDING)""",
@@ -95,18 +95,18 @@ def health_growth(spark, sf):
         minutes, F.date_trunc("day", F.col("timestamp")), "timestamp", {"database_total": "n"}
     ).withColumn("error_count", F.lit(0))
     return health.with_history(series).select(
-        at(), F.col("database_total").alias("total"), F.col("recent_growth").alias("growth")
+        checked_at(), F.col("database_total").alias("total"), F.col("recent_growth").alias("growth")
     )
 
 
 @query(
     "health_error_rate",
     f"""WITH {CHECKS_SQL}
-    SELECT at, round(error_rate, 6) AS error_rate, round(error_rate_now, 6) AS error_rate_now FROM scored""",
+    SELECT checked_at, round(error_rate, 6) AS error_rate, round(error_rate_now, 6) AS error_rate_now FROM scored""",
 )
 def health_error_rate(spark, sf):
     return health.with_history(checks(spark, sf)).select(
-        at(), F.round("error_rate", 6).alias("error_rate"), F.round("error_rate_now", 6).alias("error_rate_now")
+        checked_at(), F.round("error_rate", 6).alias("error_rate"), F.round("error_rate_now", 6).alias("error_rate_now")
     )
 
 
@@ -119,25 +119,25 @@ SCORE_SQL = """score AS (
 @query(
     "health_score",
     f"""WITH {CHECKS_SQL}, {SCORE_SQL}
-    SELECT at, round(score, 4) AS score, CASE WHEN score > 75 THEN 'HEALTHY' WHEN score > 50 THEN 'WARNING'
+    SELECT checked_at, round(score, 4) AS score, CASE WHEN score > 75 THEN 'HEALTHY' WHEN score > 50 THEN 'WARNING'
                                               ELSE 'CRITICAL' END AS health FROM score""",
 )
 def health_score(spark, sf):
     return health.scored_checks(checks(spark, sf)).select(
-        at(), F.round("performance_score", 4).alias("score"), "health"
+        checked_at(), F.round("performance_score", 4).alias("score"), "health"
     )
 
 
 ALERTS_SQL = """raised AS (
-  SELECT at, ts, 'LOW_COVERAGE' AS alert_type,
-         printf('Coverage dropped to %.1f%% (threshold: 79.5%%)', coverage) AS message
+  SELECT checked_at, ts, 'LOW_COVERAGE' AS alert_type,
+         printf('Coverage dropped to %.1f%% (threshold: 79.5%%)', round(coverage, 1)) AS message
   FROM scored WHERE coverage < 79.5
   UNION ALL
-  SELECT at, ts, 'LOW_GROWTH', printf('Recent growth: %d articles/hour (threshold: 10)', growth) FROM scored
+  SELECT checked_at, ts, 'LOW_GROWTH', printf('Recent growth: %d articles/hour (threshold: 10)', growth) FROM scored
   WHERE growth < 10
   UNION ALL
-  SELECT at, ts, 'HIGH_ERROR_RATE',
-         printf('Error rate: %.2f%% (threshold: 250.00%%)', error_rate_now * 100) FROM scored
+  SELECT checked_at, ts, 'HIGH_ERROR_RATE',
+         printf('Error rate: %.2f%% (threshold: 250.00%%)', round(error_rate_now * 100, 2)) FROM scored
   WHERE error_rate_now > 2.5
 )"""
 
@@ -146,9 +146,9 @@ def raised(spark, sf):
     return health.alerts(health.scored_checks(checks(spark, sf)), min_coverage=79.5, max_error_rate=2.5)
 
 
-@query("health_alerts", f"WITH {CHECKS_SQL}, {ALERTS_SQL} SELECT at, alert_type, message FROM raised")
+@query("health_alerts", f"WITH {CHECKS_SQL}, {ALERTS_SQL} SELECT checked_at, alert_type, message FROM raised")
 def health_alerts(spark, sf):
-    return raised(spark, sf).select(at(), "alert_type", "message")
+    return raised(spark, sf).select(checked_at(), "alert_type", "message")
 
 
 COOLDOWN_SQL = """WITH RECURSIVE raised AS (
@@ -176,21 +176,21 @@ def alerts_cooldown(spark, sf):
 @query(
     "health_trend",
     f"""WITH {CHECKS_SQL}
-    SELECT at, round(coalesce(coverage - lag(coverage) OVER (ORDER BY ts), 0.0), 6) AS coverage_trend,
+    SELECT checked_at, round(coalesce(coverage - lag(coverage) OVER (ORDER BY ts), 0.0), 6) AS coverage_trend,
            coalesce(total - lag(total) OVER (ORDER BY ts), 0) AS growth_trend FROM scored""",
 )
 def health_trend(spark, sf):
     return health.trends(checks(spark, sf)).select(
-        at(), F.round("coverage_trend", 6).alias("coverage_trend"), "growth_trend"
+        checked_at(), F.round("coverage_trend", 6).alias("coverage_trend"), "growth_trend"
     )
 
 
 @query(
     "health_retention",
-    f"WITH {CHECKS_SQL} SELECT at FROM scored WHERE ts > (SELECT max(ts) FROM scored) - INTERVAL 7 DAY",
+    f"WITH {CHECKS_SQL} SELECT checked_at FROM scored WHERE ts > (SELECT max(ts) FROM scored) - INTERVAL 7 DAY",
 )
 def health_retention(spark, sf):
-    return health.recent_history(checks(spark, sf)).select(at())
+    return health.recent_history(checks(spark, sf)).select(checked_at())
 
 
 SNAPSHOTS_SQL = """daily AS (
@@ -279,7 +279,13 @@ def topic_retention(spark, sf):
     return health.within_retention(events, "ts", 7).select("event_id")
 
 
-@query("health_report")
+@query(
+    "health_report",
+    f"""WITH {CHECKS_SQL}, {SCORE_SQL}
+    SELECT checked_at, round(score, 4) AS score,
+           CASE WHEN score > 75 THEN 'HEALTHY' WHEN score > 50 THEN 'WARNING' ELSE 'CRITICAL' END AS health,
+           coalesce(total - lag(total) OVER (ORDER BY ts), 0) AS growth_trend FROM score""",
+)
 def health_report(spark, sf):
     report = health.health_report(checks(spark, sf))
-    return report.select(at(), F.round("performance_score", 4).alias("score"), "health", "growth_trend")
+    return report.select(checked_at(), F.round("performance_score", 4).alias("score"), "health", "growth_trend")

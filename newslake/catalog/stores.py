@@ -352,7 +352,13 @@ def enrich_and_store(spark, sf):
     return collect.enrich_and_store(items, pages, english)[1]
 
 
-@query("migration_run")
+@query(
+    "migration_run",
+    f"""{MIGRATE_SQL}, target AS (SELECT doc_id FROM labels), moved AS (
+      SELECT doc_id FROM documents WHERE lang <> 'en' UNION SELECT doc_id FROM target)
+    SELECT count(*) AS articles, count(*) FILTER (WHERE inserted) AS inserted,
+           (SELECT count(*) FROM moved WHERE doc_id IN (SELECT id FROM merged)) AS features FROM merged""",
+)
 def migration_run(spark, sf):
     """Articles and feature rows of a whole migration, counted."""
     old, new = features(spark, sf)
