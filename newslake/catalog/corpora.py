@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newslake.catalog import sqltext as q
 from newslake.catalog.base import query
-from newslake.catalog.fixtures import ARTICLES_SQL, articles, table
+from newslake.catalog.fixtures import ARTICLES_SQL, table, texts
 from newslake.functions import text as t
 from newslake.operators import corpus, features, filters, sequences, stats
 
@@ -18,7 +18,8 @@ WORDS_SQL = f"""words AS (
 
 
 def tokenized(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "lang", t.corpus_tokens("text").alias("tokens"))
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
+    return docs.select("doc_id", "lang", t.corpus_tokens("text").alias("tokens"))
 
 
 def counts(spark, sf):
@@ -90,7 +91,7 @@ def vocab_shared(spark, sf):
     SELECT tokenizer, count(DISTINCT word) AS vocab_size, count(*) AS total_tokens FROM w GROUP BY tokenizer""",
 )
 def vocab_by_tokenizer(spark, sf):
-    return corpus.vocabulary_by_tokenizer(table(spark, sf, "documents"), "text")
+    return corpus.vocabulary_by_tokenizer(texts(spark, sf, "documents", "text"), "text")
 
 
 COUNTED_SQL = f"""counted AS (
@@ -179,7 +180,7 @@ def anchors_and_frequent_words(spark, sf):
     SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM c WHERE len(tokens) >= 5""",
 )
 def training_corpus(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     return corpus.training_corpus(docs, "text").select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -212,7 +213,8 @@ TFIDF_SQL = f"""docs AS (
 
 
 def feature_docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "lang", t.feature_tokens("text").alias("tokens"))
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
+    return docs.select("doc_id", "lang", t.feature_tokens("text").alias("tokens"))
 
 
 @query(
@@ -240,9 +242,14 @@ def top_terms_by_category(spark, sf):
     return features.top_terms_by_group(feature_docs(spark, sf), "lang", k=10)
 
 
-def texts(spark, sf):
-    rows = articles(spark, sf)
-    return rows.select(F.col("id").alias("article_id"), t.preferred_text("full_content", "content").alias("clean_text"))
+def processing_texts(spark, sf):
+    docs = texts(spark, sf, "documents", "doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    full = F.when(F.col("quality") == 1, F.col("text"))
+    return docs.join(labels, "doc_id", "left").select(
+        F.col("doc_id").alias("article_id"),
+        t.preferred_text(full, F.substring("text", 1, 300)).alias("clean_text"),
+    )
 
 
 @query("tfidf_hashed")
@@ -250,7 +257,7 @@ def tfidf_hashed(spark, sf):
     """Hashed feature rows; the vector is shown by its size and its sum."""
     from newslake.functions.vectors import to_list
 
-    source = texts(spark, sf)
+    source = processing_texts(spark, sf)
     rows = features.extract_features(source, features.fit_features(source), processed_at=F.lit(0).cast("timestamp"))
     values = to_list("features")
     return rows.select(
@@ -272,7 +279,7 @@ def tfidf_hashed(spark, sf):
     SELECT * FROM n WHERE token_count > 0""",
 )
 def feature_token_counts(spark, sf):
-    source = texts(spark, sf)
+    source = processing_texts(spark, sf)
     rows = features.extract_features(source, features.fit_features(source, num_features=64))
     return rows.select("article_id", "token_count")
 

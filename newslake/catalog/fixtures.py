@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslake.sources.store import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose texts are worked on, spread over all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles; a quality label of 1 means the full text is known."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from newslake.catalog import fixtures
 from newslake.catalog import sqltext as q
 from newslake.catalog.articles import pct
 from newslake.catalog.base import query
@@ -19,28 +20,32 @@ FETCHED_SQL = """fetched AS (
 
 def fetched(spark, sf):
     """Pages as fetched bodies; every tenth one was refused."""
-    return table(spark, sf, "pages").select(
+    return pages(spark, sf).select(
         F.col("url").alias("link"),
         F.when(F.col("page_id") % 10 == 0, 403).otherwise(200).alias("status"),
         "html",
     )
 
 
+def pages(spark, sf):
+    return fixtures.texts(spark, sf, "pages", "page_id", "url", "html")
+
+
 @query("html_clean", f"SELECT page_id, {q.html_text('html')} AS text FROM pages")
 def html_clean(spark, sf):
-    return table(spark, sf, "pages").select("page_id", h.clean_html("html").alias("text"))
+    return pages(spark, sf).select("page_id", h.clean_html("html").alias("text"))
 
 
 @query("html_clean_expression", f"SELECT page_id, {q.html_text('html')} AS text FROM pages")
 def html_clean_expression(spark, sf):
     # The given pages also hold '&amp' without its semicolon.
     whole = F.regexp_replace("html", "&amp(?!;)", "&amp;")
-    return table(spark, sf, "pages").select("page_id", h.strip_html(whole).alias("text"))
+    return pages(spark, sf).select("page_id", h.strip_html(whole).alias("text"))
 
 
 @query("html_main", f"SELECT page_id, {q.main_text('html')} AS text FROM pages")
 def html_main(spark, sf):
-    return table(spark, sf, "pages").select("page_id", h.extract_main_content("html").alias("text"))
+    return pages(spark, sf).select("page_id", h.extract_main_content("html").alias("text"))
 
 
 @query(
@@ -49,7 +54,7 @@ def html_main(spark, sf):
               'unknown-domain') AS domain FROM pages""",
 )
 def url_domain(spark, sf):
-    return table(spark, sf, "pages").select("page_id", t.url_domain("url").alias("domain"))
+    return pages(spark, sf).select("page_id", t.url_domain("url").alias("domain"))
 
 
 @query(

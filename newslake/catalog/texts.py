@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from newslake.catalog import sqltext as q
 from newslake.catalog.base import query
-from newslake.catalog.fixtures import ARTICLES_SQL, articles, table
+from newslake.catalog.fixtures import ARTICLES_SQL, articles, table, texts
 from newslake.functions import text as t
 from newslake.operators import filters
+from newslake.operators.compute import compute_once, explode_once
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    return texts(spark, sf, "documents", "doc_id", "text")
 
 
 @query("normalize_ml", f"SELECT doc_id, {q.normalize('text')} AS text FROM documents")
@@ -25,7 +26,7 @@ def normalize_ml(spark, sf):
     f"SELECT doc_id FROM documents WHERE length({q.normalize('text')}) >= 80",
 )
 def normalized_length_filter(spark, sf):
-    normalized = docs(spark, sf).select("doc_id", t.normalize_for_ml("text").alias("normalized_text"))
+    normalized = compute_once(docs(spark, sf), normalized_text=t.normalize_for_ml("text"))
     return filters.min_length(normalized, "normalized_text", 80).select("doc_id")
 
 
@@ -79,7 +80,7 @@ def tokens_unicode(spark, sf):
     FROM (SELECT doc_id, {q.feature_tokens('text')} AS tokens FROM documents) WHERE len(tokens) > 0""",
 )
 def tokens_no_stop(spark, sf):
-    rows = docs(spark, sf).select("doc_id", t.feature_tokens("text").alias("tokens"))
+    rows = compute_once(docs(spark, sf), tokens=t.feature_tokens("text"))
     return filters.non_empty_tokens(rows).select(
         "doc_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").cast("long").alias("token_count")
     )
@@ -115,7 +116,7 @@ def word_counts(spark, sf):
     FROM s, unnest(s.parts) WITH ORDINALITY AS u(sentence, pos)""",
 )
 def sentences(spark, sf):
-    split = docs(spark, sf).select("doc_id", F.posexplode(t.sentences("text")).alias("pos", "sentence"))
+    split = explode_once(docs(spark, sf), ["doc_id"], t.sentences("text"), "sentence", "pos")
     words = F.array_join(t.tokenize("sentence", 1, unicode=True), " ").alias("words")
     return split.select("doc_id", F.col("pos").cast("long").alias("pos"), "sentence", words)
 
@@ -127,7 +128,7 @@ def sentences(spark, sf):
     WHERE length(text) > 0""",
 )
 def chunks(spark, sf):
-    return docs(spark, sf).select("doc_id", F.posexplode(t.chunk_text("text")).alias("pos", "chunk")).select(
+    return explode_once(docs(spark, sf), ["doc_id"], t.chunk_text("text"), "chunk", "pos").select(
         "doc_id", F.col("pos").cast("long").alias("pos"), "chunk"
     )
 

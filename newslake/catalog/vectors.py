@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newslake.catalog.base import query
 from newslake.catalog.corpora import WORDS_SQL, counts, tokenized
-from newslake.catalog.fixtures import table
+from newslake.catalog.fixtures import table, texts
 from newslake.functions.vectors import l2_normalize, masked_mean
 from newslake.operators import corpus, vectors
 
@@ -178,7 +178,7 @@ def pca_2d(spark, sf):
 @query("word2vec_neighbours")
 def word2vec_neighbours(spark, sf):
     """Nearest words of the five most frequent ones under vectors trained on the documents."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     sentences = corpus.training_corpus(docs, "text")
     model = vectors.train_word_vectors(sentences, dims=16, epochs=1)
     anchors = corpus.top_tokens(corpus.token_counts(sentences), 5)
@@ -189,7 +189,7 @@ def word2vec_neighbours(spark, sf):
 @query("batch_embed")
 def batch_embed(spark, sf):
     """Vectors of all documents from a text encoder, here a hashing one."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     embedded = vectors.embed(docs, "text", lambda: vectors.HashedTokenEncoder(16))
     return embedded.select("doc_id", F.round(F.element_at("vector", 1), 6).alias("first"), F.size("vector").alias("dims"))
 

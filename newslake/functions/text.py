@@ -97,14 +97,24 @@ def remove_stop_words(tokens: Column | str, words: list[str] | None = None) -> C
     return F.filter(_col(tokens), lambda w: ~F.lower(w).isin(listed))
 
 
-def corpus_tokens(c: Column | str, min_length: int = 3, unicode: bool = True) -> Column:
-    """Tokens for vocabulary work: cleaned text, no stop words, three letters or more."""
-    return remove_stop_words(tokenize(clean_for_corpus(c), min_length, unicode))
+def corpus_tokens(c: Column | str, min_length: int = 3) -> Column:
+    """Tokens for vocabulary work: no stop words, three letters or more.
+
+    The words of :func:`clean_for_corpus`, in one pass less: punctuation is deleted,
+    and whatever else is not a letter separates words.
+    """
+    lowered = F.translate(F.lower(F.coalesce(_col(c), F.lit(""))), PUNCTUATION, "")
+    return remove_stop_words(F.filter(F.split(lowered, r"[^\p{L}]+"), lambda w: F.length(w) >= min_length))
 
 
 def feature_tokens(c: Column | str, unicode: bool = False) -> Column:
-    """Tokens for the feature job: normalized text, two characters or more, no stop words."""
-    return remove_stop_words(tokenize(normalize_for_ml(c), 2, unicode))
+    """Tokens for the feature job: two characters or more, no stop words.
+
+    The words of :func:`normalize_for_ml` text, in one pass: there, a word ends at
+    anything but a letter or digit, or, without ``unicode``, but an ASCII one.
+    """
+    separators = r"[^\p{L}\p{Nd}]+" if unicode else r"[^0-9A-Za-z]+"
+    return remove_stop_words(F.filter(F.split(F.lower(_col(c)), separators), lambda w: F.length(w) >= 2))
 
 
 def word_count(c: Column | str) -> Column:

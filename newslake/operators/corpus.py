@@ -13,13 +13,13 @@ from newslake.functions.text import (
     tokenize,
     truncate,
 )
+from newslake.operators.compute import compute_once, explode_once
 from newslake.operators.ordering import number_rows
 
 
 def token_counts(df: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
     """``(word, n)`` over the whole corpus."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    return df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return explode_once(df, [], tokens, "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def top_tokens(counts: DataFrame, k: int = 20) -> DataFrame:
@@ -35,7 +35,7 @@ def vocabulary_size(counts: DataFrame) -> DataFrame:
 
 def approximate_vocabulary_size(df: DataFrame, tokens: str = "tokens", error: float = 0.02) -> DataFrame:
     """The same in one pass with bounded memory; the vocabulary is an estimate."""
-    words = df.select(F.explode(tokens).alias("word"))
+    words = explode_once(df, [], tokens, "word")
     return words.agg(
         F.approx_count_distinct("word", error).alias("vocab_size"), F.count("*").alias("total_tokens")
     )
@@ -57,7 +57,8 @@ def vocabulary_by_tokenizer(df: DataFrame, text: str) -> DataFrame:
     named = F.array(
         *[F.struct(F.lit(name).alias("tokenizer"), words.alias("words")) for name, words in tokenizers(text).items()]
     )
-    words = distinct.select(F.explode(named).alias("t")).select("t.tokenizer", F.explode("t.words").alias("word"))
+    split = explode_once(distinct, [], named, "t").select("t.tokenizer", "t.words")
+    words = split.select("tokenizer", F.explode("words").alias("word"))
     counts = words.groupBy("tokenizer", "word").agg(F.count("*").alias("n"))
     return counts.groupBy("tokenizer").agg(F.count("*").alias("vocab_size"), F.sum("n").alias("total_tokens"))
 
@@ -108,8 +109,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
     Values are counted first, so the bounds and the bins read only the distinct ones.
     """
-    values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x"))
-    counts = values.agg(F.count("*").alias("n"))
+    values = compute_once(df.select(column), x=F.col(column).cast("double")).filter(F.col("x").isNotNull())
+    counts = values.groupBy("x").agg(F.count("*").alias("n"))
     low = counts.agg(F.min("x").alias("v")).scalar()
     high = counts.agg(F.max("x").alias("v")).scalar()
     bounded = counts.withColumn("low", low).withColumn("high", high)
@@ -137,7 +138,7 @@ def training_corpus(
     words = F.filter(words, lambda w: w.rlike(r"^\p{L}+$"))
     if lemma is not None:
         words = F.transform(words, lemma)
-    return df.withColumn("tokens", words).filter(F.size("tokens") >= min_tokens)
+    return compute_once(df, tokens=words).filter(F.size("tokens") >= min_tokens)
 
 
 def distinct_in_order(lists: list[DataFrame]) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import normalize_for_ml
-from newslake.operators.ordering import top_per_key
+from newslake.operators.compute import compute_once, explode_once
 from newslake.operators.filters import MIN_FEATURE_LENGTH
+from newslake.operators.ordering import top_per_key
 
 # Width of the hashed vector and the version written beside it.
 NUM_FEATURES = 4096
@@ -18,12 +19,12 @@ VERSION = "spark_v1"
 
 def normalized(articles: DataFrame, min_length: int = MIN_FEATURE_LENGTH) -> DataFrame:
     """Add ``normalized_text`` to ``(article_id, clean_text)`` and drop short rows."""
-    text = articles.withColumn("normalized_text", normalize_for_ml("clean_text"))
+    text = compute_once(articles, normalized_text=normalize_for_ml("clean_text"))
     return text.filter(F.length("normalized_text") >= min_length)
 
 
 def term_frequencies(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    return docs.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    return explode_once(docs, [key], tokens, "term").groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def _idf(docs: int | object, df: str = "df"):
@@ -52,9 +53,9 @@ def top_terms_by_group(docs: DataFrame, group: str, tokens: str = "tokens", k: i
     def marked(words, tf: int, df: int):
         return F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
 
-    tokens = F.col(tokens)
-    listed = F.concat(marked(tokens, 1, 0), marked(F.array_distinct(tokens), 0, 1))
-    counts = docs.select(group, F.explode(listed).alias("t")).select(group, "t.*")
+    made = compute_once(docs, _tokens=F.col(tokens))
+    listed = F.concat(marked(F.col("_tokens"), 1, 0), marked(F.array_distinct("_tokens"), 0, 1))
+    counts = explode_once(made, [group], listed, "t").select(group, "t.*")
     both = counts.groupBy(group, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df_group"))
     df = both.groupBy("term").agg(F.sum("df_group").alias("df"))
     scored = both.join(df, "term").withColumn("idf", _idf(total))
@@ -100,7 +101,8 @@ def extract_features(
 
     The vector stays sparse; rows without a token are left out.
     """
-    rows = model.transform(normalized(articles)).filter(F.size("tokens") > 0)
+    transformed = model.transform(normalized(articles)).select("article_id", "tokens", "features")
+    rows = compute_once(transformed, tokens=F.col("tokens")).filter(F.size("tokens") > 0)
     return rows.select(
         "article_id",
         F.size("tokens").alias("token_count"),

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslake.operators.compute import explode_once
 from newslake.operators.ordering import first_per_key, trailing_frames, with_previous
 
 HOUR, DAY = 3600, 86400
@@ -116,7 +117,7 @@ def alerts(
             ),
         ),
     )
-    broken = scored.select(*keep, "timestamp", F.explode(F.array_compact(rules)).alias("a"))
+    broken = explode_once(scored, [*keep, "timestamp"], F.array_compact(rules), "a")
     return broken.select(*keep, "timestamp", "a.alert_type", "a.message")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newslake.functions.vectors import argmax
+from newslake.operators.compute import explode_once
 from newslake.operators.ordering import number_rows
 
 PAD, UNKNOWN = "<PAD>", "UNK"
@@ -21,7 +22,7 @@ def build_vocabulary(counts: DataFrame) -> DataFrame:
 
 def encode(docs: DataFrame, vocabulary: DataFrame, keys: list[str], tokens: str = "tokens", unknown: int = 1) -> DataFrame:
     """Token ids of each row in order; words without an id get the unknown one."""
-    words = docs.select(*keys, F.posexplode(tokens).alias("pos", "word"))
+    words = explode_once(docs, keys, tokens, "word", "pos")
     found = words.join(vocabulary.select("word", "id"), "word", "left")
     number = F.coalesce("id", F.lit(unknown)).alias("id")
     pairs = found.select(*keys, F.struct("pos", number).alias("p"))
@@ -65,13 +66,15 @@ def tag_accuracy(df: DataFrame, predicted: str, labels: str, pad: int) -> DataFr
 
     Matches on padding count as matches, so the value can exceed 1.
     """
-    pairs = df.select(F.explode(F.arrays_zip(F.col(predicted).alias("p"), F.col(labels).alias("l"))).alias("x"))
+    zipped = F.arrays_zip(F.col(predicted).alias("p"), F.col(labels).alias("l"))
+    pairs = explode_once(df, [], zipped, "x")
     return _accuracy(pairs.select("x.p", "x.l"), F.col("p") == F.col("l"), pad)
 
 
 def masked_tag_accuracy(df: DataFrame, predicted: str, labels: str, pad: int) -> DataFrame:
     """The same with matches on padding left out."""
-    pairs = df.select(F.explode(F.arrays_zip(F.col(predicted).alias("p"), F.col(labels).alias("l"))).alias("x"))
+    zipped = F.arrays_zip(F.col(predicted).alias("p"), F.col(labels).alias("l"))
+    pairs = explode_once(df, [], zipped, "x")
     return _accuracy(pairs.select("x.p", "x.l"), (F.col("p") == F.col("l")) & (F.col("l") != pad), pad)
 
 

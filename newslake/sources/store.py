@@ -25,6 +25,17 @@ def available(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan of few large splits to all cores before heavy work on its rows.
+
+    The number of splits is known without reading anything.  A table with at least
+    as many splits as cores, as any large one, stays as it is and is not shuffled.
+    Only for plain scans: on a plan with a shuffle the count itself would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def articles_for_processing(
     articles: DataFrame,
     since_id: int | None = None,
