@@ -63,10 +63,13 @@ def random_rows(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("seed, n, first_batch", [(1, 60, 1000), (2, 120, 1000), (3, 120, 8), (4, 200, 30)])
-def test_random_rows(spark, seed, n, first_batch):
+@pytest.mark.parametrize(
+    "seed, n, options",
+    [(1, 60, {}), (2, 120, {}), (3, 120, {"first_batch": 25}), (4, 200, {"first_batch": 30}), (5, 160, {"pair_budget": 2500})],
+)
+def test_random_rows(spark, seed, n, options):
     rows = random_rows(seed, n)
-    assert marked(spark, rows, first_batch=first_batch) == one_by_one(rows)
+    assert marked(spark, rows, **options) == one_by_one(rows)
 
 
 def test_one_title_fills_a_category(spark):
@@ -77,7 +80,9 @@ def test_one_title_fills_a_category(spark):
     rows += [{"seq": 1000 + n, "link": f"m{n}", "category": "b", "title": "Same", "content": "same"} for n in range(300)]
     expected = one_by_one(rows)
     assert marked(spark, rows) == expected
-    assert marked(spark, rows, first_batch=20) == expected
+    assert marked(spark, rows, first_batch=100) == expected
+    # All variants in one batch, which has to be halved until it is small enough.
+    assert marked(spark, rows, pair_budget=30_000) == expected
 
 
 def test_hash_of_a_dropped_article_does_not_block(spark):
