@@ -122,7 +122,7 @@ def merge_articles(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 def assign_ids(new_rows: DataFrame, stored: DataFrame, order: str = "seq") -> DataFrame:
     """Give new rows the ids after the highest stored id, in order."""
     highest = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    bucket = F.floor(F.col(order) / F.lit(1 << 20))
+    bucket = F.shiftright(F.col(order).cast("long"), 20)
     numbered = number_rows(new_rows, [bucket], [order], "_n")
     return numbered.withColumn("id", highest + F.col("_n")).drop("_n")
 

@@ -125,7 +125,7 @@ class ArticleLog:
         self.batches = SnapshotStore(spark, f"{self.path}/changes")
 
     def append(self, incoming: DataFrame, batch_id: int) -> None:
-        """Write the rows of a batch; ``seq`` orders them inside it."""
+        """Write the rows of a batch; ``seq``, below 2^50, orders them inside it."""
         self.batches.write(incoming.select(self.CHANGES), batch_id)
 
     def _changes(self, after: int) -> DataFrame | None:
@@ -133,7 +133,7 @@ class ArticleLog:
         if not paths:
             return None
         rows = self.spark.read.option("basePath", self.batches.path).parquet(*paths)
-        return rows.withColumn("seq", F.shiftleft(F.col("v").cast("long"), 40) + F.col("seq")).drop("v")
+        return rows.withColumn("seq", F.shiftleft(F.col("v").cast("long") - (after + 1), 50) + F.col("seq")).drop("v")
 
     def current(self) -> DataFrame:
         """All articles as of the last batch."""

@@ -10,7 +10,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from newslake.functions.dates import now_iso
 from newslake.operators.enrich import enrich_or_fall_back, fetch_outcomes, successful
-from newslake.operators.ordering import number_rows
 from newslake.schemas import ITEM_MESSAGE
 from newslake.session import cut_lineage
 from newslake.sources.store import ArticleLog
@@ -54,8 +53,11 @@ def to_cleaned(enriched: DataFrame, at=None) -> DataFrame:
 
 def _incoming(enriched: DataFrame) -> DataFrame:
     items = as_items(enriched).filter(F.coalesce("link", F.lit("")) != "")
-    order = number_rows(items, [F.substring("fetched_at", 1, 16)], ["fetched_at", "id"], "seq")
-    return order.withColumn("full_content_status", F.lit(None).cast("string"))
+    # Ranges of the arrival order, so that no task sees more than its share of a burst.
+    ordered = items.repartitionByRange("fetched_at", "id").sortWithinPartitions("fetched_at", "id")
+    return ordered.withColumn("seq", F.monotonically_increasing_id()).withColumn(
+        "full_content_status", F.lit(None).cast("string")
+    )
 
 
 class EnrichmentJob:
