@@ -174,7 +174,7 @@ def anchors_and_frequent_words(spark, sf):
     "training_corpus",
     rf"""WITH c AS (
       SELECT doc_id, {q.no_stop("[w FOR w IN string_split_regex(lower(" + q.collapse(
-          rf"regexp_replace(regexp_replace(substr(text, 1, 600), 'https?://[^{q.BLANK}]+', ' ', 'g'), "
+          rf"regexp_replace(regexp_replace(text, 'https?://[^{q.BLANK}]+', ' ', 'g'), "
           r"'@[\p{L}\p{N}_]+', ' ', 'g')") + r"), '[^\p{L}\p{Nd}_]+') IF regexp_full_match(w, '\p{L}+')]")} AS tokens
       FROM documents)
     SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM c WHERE len(tokens) >= 5""",

@@ -127,14 +127,16 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 
 def training_corpus(
-    df: DataFrame, text: str, max_chars: int = 600, min_tokens: int = 5, lemma=None
+    df: DataFrame, text: str, max_chars: int | None = None, min_tokens: int = 5, lemma=None
 ) -> DataFrame:
-    """Token lists for word-vector training from the head of every text.
+    """Token lists for word-vector training.
 
-    Cleaned, letters only, no stop words, five tokens or more.  ``lemma`` maps a
-    token column to its base form; without it tokens stay as they are.
+    Cleaned, letters only, no stop words, five tokens or more.  ``max_chars``
+    takes the head of every text only.  ``lemma`` maps a token column to its base
+    form; without it tokens stay as they are.
     """
-    words = remove_stop_words(tokenize(strip_urls_handles(truncate(F.col(text), max_chars)), 1, unicode=True))
+    whole = F.col(text) if max_chars is None else truncate(F.col(text), max_chars)
+    words = remove_stop_words(tokenize(strip_urls_handles(whole), 1, unicode=True))
     words = F.filter(words, lambda w: w.rlike(r"^\p{L}+$"))
     if lemma is not None:
         words = F.transform(words, lemma)

@@ -140,7 +140,8 @@ def cool_down(
     of time needs to know is only when the pause it starts in ends, and that end
     is set by one of the alerts at the end of the chunk before.  So each chunk
     lists its last sent alert for every way it can start, the lists are followed
-    from chunk to chunk, and then all chunks are worked out on their own.
+    from chunk to chunk, and then all chunks are worked out on their own.  Only
+    distinct times take part in that; the alerts are looked up at the end.
     """
     if seconds > chunk:
         raise ValueError("a chunk must be at least as long as the pause")
@@ -149,6 +150,7 @@ def cool_down(
     at = F.unix_micros(F.col("timestamp").cast("timestamp"))
     timed = raised.withColumn("_at", at).withColumn("_chunk", F.floor(F.col("_at") / width).cast("long"))
     group = [*keys, "_chunk"]
+    times = timed.select(*group, "_at").distinct()
     key_type = ", ".join(f"{k} {raised.schema[k].dataType.simpleString()}" for k in keys)
 
     def ways(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -161,12 +163,15 @@ def cool_down(
         for limit in limits:
             sent = _sent(times, int(limit), pause)
             lasts.append(int(times[sent[-1]]) if sent else None)
+        # Of neighbouring starts that end alike, the first stands for all.
+        changes = [n for n in range(len(limits)) if n == 0 or lasts[n] != lasts[n - 1]]
+        limits, lasts = [limits[n] for n in changes], [lasts[n] for n in changes]
         out = pd.DataFrame({"_from": limits, "_last": pd.array(lasts, dtype="Int64")})
         for k in group:
             out[k] = pdf[k].iloc[0]
         return out[[*group, "_from", "_last"]]
 
-    listed = timed.groupBy(*group).applyInPandas(ways, f"{key_type}, _chunk long, _from long, _last long")
+    listed = times.groupBy(*group).applyInPandas(ways, f"{key_type}, _chunk long, _from long, _last long")
 
     def follow(pdf: pd.DataFrame) -> pd.DataFrame:
         rows, ready = [], 0
@@ -186,12 +191,13 @@ def cool_down(
     entries = listed.groupBy(*keys).applyInPandas(follow, f"{key_type}, _chunk long, _ready long")
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values("_at", kind="stable")
+        ordered = pdf.sort_values("_at")
         places = _sent(ordered["_at"].to_numpy(), int(ordered["_ready"].iloc[0]), pause)
-        return ordered.iloc[places]
+        return ordered.iloc[places][[*keys, "_at"]]
 
-    joined = timed.join(entries, group)
-    return joined.groupBy(*group).applyInPandas(send, joined.schema).select(raised.columns)
+    sent = times.join(entries, group).groupBy(*group).applyInPandas(send, f"{key_type}, _at long")
+    one_each = first_per_key(timed, [*keys, "_at"], raised.columns)
+    return one_each.join(sent, [*keys, "_at"], "left_semi").select(raised.columns)
 
 
 def day_of(ts: str = "timestamp") -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newslake.operators.ordering import number_rows
+
 # Words that mark a line worth keeping in the run logs.
 CONSUMER_WORDS = ["consumed", "enriched", "success", "processed", "metrics"]
 
@@ -21,16 +23,20 @@ def read_latin1_csv(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(line_no, value)`` of a text file, counted from 0 within the file.
+    """``(file, line_no, value)`` of text files, counted from 0 within each file.
 
-    The whole-file form is used because a split text scan has no line numbers;
-    many files are read in parallel, one file must fit in a task.
+    A large file is read in splits.  Their place in the file gives the order of the
+    splits, and the reading order that of the lines inside one.
     """
-    whole = spark.read.text(path, wholetext=True)
-    text = F.regexp_replace("value", r"\r?\n\z", "")
-    return whole.select(
-        F.input_file_name().alias("file"), F.posexplode(F.split(text, r"\r?\n")).alias("line_no", "value")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_place"),
+        "value",
     )
+    numbered = number_rows(lines, [F.col("file"), F.col("_start")], ["_place"], "_n")
+    first = numbered.groupBy("file").agg(F.min("_n").alias("_first"))
+    return numbered.join(first, "file").select("file", (F.col("_n") - F.col("_first")).alias("line_no"), "value")
 
 
 def aligned_tokens(sentences: DataFrame, labels: DataFrame) -> DataFrame:
