@@ -29,8 +29,11 @@ def fetch_outcomes(requests: DataFrame, pages: DataFrame) -> DataFrame:
         F.coalesce("category", F.lit("unknown")).alias("category"),
     ).withColumn("skipped", (F.col("title") == "") | (F.col("link") == ""))
     usable = F.coalesce((F.col("status") == 200) & ~is_blocked_or_paywalled("status", "html"), F.lit(False))
-    bodies = pages.select("link", "status", F.when(usable, F.col("html")).alias("html"))
-    # The text is taken from each page once, before the join can repeat the page.
+    # Only requested pages are read for their text, each once, before the join can repeat it.
+    asked = items.filter(~F.col("skipped")).select("link").distinct()
+    bodies = pages.join(asked, "link", "left_semi").select(
+        "link", "status", F.when(usable, F.col("html")).alias("html")
+    )
     texts = bodies.select(
         "link",
         "status",
@@ -83,6 +86,12 @@ def enrich_or_fall_back(messages: DataFrame, fetched: DataFrame) -> DataFrame:
     return enriched.withColumn("enrichment_status", status)
 
 
+def backlog(stored: DataFrame, limit: int | None) -> DataFrame:
+    """The newest articles that lack their text."""
+    lacking = stored.filter(is_blank("full_content"))
+    return newest(lacking, limit) if limit is not None else lacking
+
+
 def backfill(
     stored: DataFrame, fetched: DataFrame, limit: int | None = 20, min_full_length: int = MIN_FULL_LENGTH
 ) -> DataFrame:
@@ -90,8 +99,7 @@ def backfill(
 
     ``fetched`` is ``(link, content)``.  Text that is too short is not accepted.
     """
-    lacking = stored.filter(is_blank("full_content")).select("id", "link", "full_content")
-    requested = newest(lacking, limit) if limit is not None else lacking
+    requested = backlog(stored.select("id", "link", "full_content"), limit)
     accepted = fetched.filter(F.length("content") >= min_full_length).select("link", "content")
     # A text of blanks counts as missing when choosing, yet is not overwritten.
     empty = F.coalesce("full_content", F.lit("")) == ""
@@ -106,8 +114,7 @@ def backfill_counters(
     stored: DataFrame, fetched: DataFrame, limit: int | None = 20, min_full_length: int = MIN_FULL_LENGTH
 ) -> DataFrame:
     """How many articles were requested, fetched, failed and updated."""
-    lacking = stored.filter(is_blank("full_content")).select("id", "link", "full_content")
-    requested = newest(lacking, limit) if limit is not None else lacking
+    requested = backlog(stored.select("id", "link", "full_content"), limit)
     joined = requested.join(fetched.select("link", F.length("content").alias("n")), "link", "left")
     empty = F.coalesce("full_content", F.lit("")) == ""
     return joined.agg(
