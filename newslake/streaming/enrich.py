@@ -65,7 +65,8 @@ class EnrichmentJob:
 
     Every write goes to a place named after the batch and replaces what is there,
     so a batch that runs again leaves the same result.  Nothing outside the batch
-    is rewritten; the store is compacted by a job of its own.
+    is rewritten; the store is compacted by a job of its own.  ``pages`` is read
+    once per batch and should hold recent fetches, not an archive.
     """
 
     def __init__(self, store: ArticleLog, pages: DataFrame, cleaned_path: str, alerts_path: str):
