@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from newslake.session import work_dir
 
@@ -31,7 +32,7 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """Run a function over Arrow batches, one after the other."""
 
@@ -42,27 +43,26 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def write(df: DataFrame, name: str) -> str:
+    """Write a table to a new folder below the shared one; its path."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no more than the step that reads it.
     """
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
 
 
-def remove(df: DataFrame) -> None:
-    """Delete a table made by ``written`` that nothing reads any more."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``write`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def hex_lower(column: Column) -> Column:
-    return F.lower(F.hex(column))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import tokens
+from newslake.llm import exact, tokens
 from newslake.llm.common import table
 
 QUERIES = {}
@@ -36,3 +36,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op10_exact_dedup",
+    """
+    WITH d AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+        FROM documents
+    ), g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
+    SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.body) AS text_sha256
+    FROM d JOIN g USING (body)
+    """,
+)
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the equal one that stays."""
+    found = exact.duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("digest", "text_sha256")

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from newslake.llm.common import map_batches, pick
 
@@ -272,5 +273,5 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -
             [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
         )
 
-    schema = rows.schema.add("decoded", "binary")
-    return rows.mapInArrow(lambda batches: (out for b in batches for out in work(b)), schema)
+    schema = StructType([*rows.schema.fields, StructField("decoded", BinaryType())])
+    return map_batches(rows, work, schema)
