@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import exact, tokens
+from newslake.llm import exact, minhash, tokens
 from newslake.llm.common import table
 
 QUERIES = {}
@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to, as digests."""
     ids = tokens.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    both = tokens.decode(ids, RANKS, public_tokenizers.PATTERN)
+    both = tokens.decode(ids, RANKS)
     return both.select(
         "doc_id",
         "n_tokens",
@@ -53,3 +53,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the equal one that stays."""
     found = exact.duplicates(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("digest", "text_sha256")
+
+
+@query("op7_minhash")
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of near copies it belongs to."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
