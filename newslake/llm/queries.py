@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import exact, minhash, tokens
+from newslake.llm import embeddings, exact, minhash, quality, tokens, toxicity
 from newslake.llm.common import table
 
 QUERIES = {}
@@ -59,3 +59,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of near copies it belongs to."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_embedding_dedup")
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and the component of near copies it belongs to."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
