@@ -26,7 +26,11 @@ from newslake.session import work_dir
 COPIES_A_TASK = 1000
 #: What a micro-batch of digests holds at most.
 BATCH_BYTES = 4 << 30
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; many small stores must not reserve disk space ahead.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,7 +58,8 @@ def groups_of(spark: SparkSession, folder: str, checkpoint: str, batch_bytes: in
     schema = spark.read.parquet(folder).schema
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE.items():
+        session.conf.set(key, value)
     stream = session.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(folder)
     run = (
         track(stream)
