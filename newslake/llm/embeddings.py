@@ -34,6 +34,9 @@ COSINE = 0.9
 TABLES, BLOCKS, SCALE = 48, 2, 4.5
 #: Members of a cell that are compared at a time.
 BLOCK_ROWS = 512
+#: Members whose groups are worked on together, and pairs whose meetings are looked up together.
+ROWS_AT_ONCE = 4096
+PAIRS_AT_ONCE = 1 << 16
 _SEED = 88
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,20 +138,20 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows)), lists], ["id", "codes"])
 
 
-def _first_meeting(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-    """The code of the first cell in which each pair meets."""
+def _first_meeting(codes: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """The code of the first cell in which each pair of rows of ``codes`` meets."""
     found = np.zeros(len(mine), np.uint64)
-    open_rows = np.arange(len(mine))
+    open_pairs = np.arange(len(mine))
+    highest = np.uint64(0xFFFFFFFFFFFFFFFF)
     for t in range(TABLES):
-        a, b = mine[open_rows, t], theirs[open_rows, t]
+        a, b = codes[mine[open_pairs], t], codes[theirs[open_pairs], t]
         at_a = (b == a[:, :1]).any(axis=1)
         at_b = (a == b[:, :1]).any(axis=1)
-        highest = np.uint64(0xFFFFFFFFFFFFFFFF)
         cell = np.minimum(np.where(at_a, a[:, 0], highest), np.where(at_b, b[:, 0], highest))
         met = at_a | at_b
-        found[open_rows[met]] = cell[met]
-        open_rows = open_rows[~met]
-        if not len(open_rows):
+        found[open_pairs[met]] = cell[met]
+        open_pairs = open_pairs[~met]
+        if not len(open_pairs):
             break
     return found
 
@@ -168,57 +171,82 @@ def _forest(linked: np.ndarray) -> np.ndarray:
     return roots
 
 
-def _group(cell: int, i: int, j: int, rows: list[tuple]) -> tuple[list, list, list] | None:
-    """Links of one pair of blocks: ``ids, links, roots`` of the members that have any."""
-    rows = sorted(rows)
-    ids = [r[0] for r in rows]
-    home = np.array([r[1] for r in rows])
-    block = np.array([r[2] for r in rows])
-    copies = np.array([r[3] for r in rows])
-    sizes = {len(r[4]) for r in rows}
-    if len(sizes) > 1:  # codes hold the number of components, so this is a clash of codes
-        parts = [_group(cell, i, j, [r for r in rows if len(r[4]) == s]) for s in sizes]
-        parts = [p for p in parts if p]
-        return tuple(sum((list(p[k]) for p in parts), []) for k in range(3)) if parts else None
-    unit = unit_vectors(np.frombuffer(b"".join(r[4] for r in rows), np.float64).reshape(len(rows), -1))
-    linked = unit @ unit.T >= COSINE
-    np.fill_diagonal(linked, False)
-    linked &= home[:, None] | home[None, :]
-    if i != j:
-        linked &= block[:, None] != block[None, :]
-    some = np.flatnonzero(linked.any(axis=1))
-    if not len(some):
-        return None
-    linked = linked[np.ix_(some, some)]
-    codes = cells(unit[some])
-    counts = np.zeros(len(some), np.int64)
-    weight = copies[some]
-    here = np.uint64(cell & 0xFFFFFFFFFFFFFFFF)
-    for n in range(len(some)):
-        partners = np.flatnonzero(linked[n])
-        first = _first_meeting(np.broadcast_to(codes[n], (len(partners), *codes.shape[1:])), codes[partners])
-        counts[n] = weight[partners[first == here]].sum()
-    roots = _forest(linked)
-    return [ids[s] for s in some], counts.tolist(), [ids[some[r]] for r in roots]
+class Comparison:
+    """Links of several pairs of blocks; codes and meetings are worked out for all at once."""
+
+    def __init__(self):
+        self.vectors: dict[bytes, int] = {}
+        self.ids: list[int] = []
+        self.weights: list[int] = []
+        self.roots: list[int] = []
+        self.at: list[int] = []  # of each member with links: its place among the vectors
+        self.pairs: list[tuple[np.ndarray, np.ndarray, int]] = []
+
+    def add(self, cell: int, i: int, j: int, rows: list[tuple]) -> None:
+        for size in {len(r[4]) for r in rows}:  # codes hold the length; only a clash gives two
+            self._add(cell, i == j, sorted(r for r in rows if len(r[4]) == size))
+
+    def _add(self, cell: int, one_block: bool, rows: list[tuple]) -> None:
+        unit = unit_vectors(np.frombuffer(b"".join(r[4] for r in rows), np.float64).reshape(len(rows), -1))
+        home = np.array([r[1] for r in rows])
+        linked = unit @ unit.T >= COSINE
+        np.fill_diagonal(linked, False)
+        linked &= home[:, None] | home[None, :]
+        if not one_block:
+            block = np.array([r[2] for r in rows])
+            linked &= block[:, None] != block[None, :]
+        some = np.flatnonzero(linked.any(axis=1))
+        if not len(some):
+            return
+        linked = linked[np.ix_(some, some)]
+        first = len(self.ids)
+        for s, root in zip(some, _forest(linked), strict=True):
+            self.ids.append(rows[s][0])
+            self.weights.append(rows[s][3])
+            self.roots.append(rows[some[root]][0])
+            self.at.append(self.vectors.setdefault(rows[s][4], len(self.vectors)))
+        a, b = np.nonzero(np.triu(linked))
+        self.pairs.append((a + first, b + first, cell & 0xFFFFFFFFFFFFFFFF))
+
+    def result(self) -> Iterator[pa.RecordBatch]:
+        if not self.ids:
+            return
+        codes = np.empty((len(self.vectors), TABLES, 1 + BLOCKS), np.uint64)
+        packed = list(self.vectors)
+        for size in {len(v) for v in packed}:
+            rows = [n for n, v in enumerate(packed) if len(v) == size]
+            codes[rows] = cells(unit_vectors(np.frombuffer(b"".join(packed[n] for n in rows)).reshape(len(rows), -1)))
+        a, b = (np.concatenate([p[k] for p in self.pairs]) for k in (0, 1))
+        here = np.repeat(np.array([p[2] for p in self.pairs], np.uint64), [len(p[0]) for p in self.pairs])
+        at, weights = np.array(self.at), np.array(self.weights)
+        counts = np.zeros(len(self.ids))
+        for start in range(0, len(a), PAIRS_AT_ONCE):
+            part = slice(start, start + PAIRS_AT_ONCE)
+            mine = _first_meeting(codes, at[a[part]], at[b[part]]) == here[part]
+            for x, y in ((a[part][mine], b[part][mine]), (b[part][mine], a[part][mine])):
+                counts += np.bincount(x, weights[y], len(counts))
+        columns = self.ids, counts.astype(np.int64), self.roots
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "links", "root"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; groups may go over the ends of batches."""
-    key, rows = None, []
-
-    def result():
-        found = _group(*key, rows) if key and len(rows) > 1 else None
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["id", "links", "root"])
-
+    key, rows, seen, work = None, [], 0, Comparison()
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("cell", "i", "j", "id", "home", "block", "copies", "vector")]
         for cell, i, j, *row in zip(*columns, strict=True):
             if (cell, i, j) != key:
-                yield from result()
+                if len(rows) > 1:
+                    work.add(*key, rows)
+                    seen += len(rows)
+                if seen >= ROWS_AT_ONCE:
+                    yield from work.result()
+                    seen, work = 0, Comparison()
                 key, rows = (cell, i, j), []
             rows.append(tuple(row))
-    yield from result()
+    if len(rows) > 1:
+        work.add(*key, rows)
+    yield from work.result()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
