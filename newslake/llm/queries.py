@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import embeddings, exact, minhash, quality, tokens, toxicity
+from newslake.llm import chat, embeddings, exact, licenses, minhash, mixing, quality, tokens, toxicity
 from newslake.llm.common import table
 
 QUERIES = {}
@@ -79,3 +79,75 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, from labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    "op4_mixing",
+    f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) + 1 AS tokens
+        FROM documents
+    ), t AS (SELECT source, sum(tokens) AS n FROM d GROUP BY source
+    ), s AS (SELECT source, n, n / (SELECT sum(n) FROM t) AS share, (SELECT count(*) FROM t) AS sources FROM t
+    ), bisected(i, lo, hi) AS (
+        SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+        UNION ALL
+        SELECT i + 1, if(even, (lo + hi) / 2, lo), if(even, hi, (lo + hi) / 2)
+        FROM (
+            SELECT i, lo, hi,
+                ln(sum(pow(share, (lo + hi) / 2)))
+                - (lo + hi) / 2 * sum(pow(share, (lo + hi) / 2) * ln(share)) / sum(pow(share, (lo + hi) / 2))
+                >= {mixing.EVENNESS} * ln(max(sources)) - 1e-12 AS even
+            FROM bisected, s WHERE i < 45 GROUP BY i, lo, hi
+        )
+    ), limited AS (
+        SELECT CASE WHEN max(share) / min(share) <= {mixing.REPEATS} THEN 0
+            ELSE 1 - ln({mixing.REPEATS}) / ln(max(share) / min(share)) END AS lowest
+        FROM s
+    ), e AS (
+        SELECT floor(greatest((SELECT max(lo) FROM bisected WHERE i = 45), lowest) * 1e6 + 0.5) / 1e6 AS x FROM limited
+    ), p AS (SELECT source, n, pow(share, x) AS power FROM s, e
+    ), w AS (
+        SELECT source, n,
+            greatest(round(power * (SELECT max(n / power) FROM p))::BIGINT, n) AS budget,
+            greatest(round(power / (SELECT sum(power) FROM p) * {mixing.BLOCK_TOKENS})::BIGINT, 1) AS quota
+        FROM p
+    ), u AS (
+        SELECT doc_id, source, tokens, n, budget, quota, pass,
+            md5('{mixing.SEED}:' || pass || ':' || doc_id) AS place
+        FROM (SELECT *, unnest(range(0, ceil(budget / n)::BIGINT)) AS pass FROM d JOIN w USING (source))
+    ), a AS (
+        SELECT *, pass * n + sum(tokens) OVER (PARTITION BY source, pass ORDER BY place, tokens) - tokens AS spot FROM u
+    )
+    SELECT doc_id, source, tokens::BIGINT AS tokens, pass::INT AS pass, (spot // quota)::BIGINT AS block, place
+    FROM a WHERE spot < budget
+    """,
+)
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of every document in the mix of all sources."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op8_licenses")
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels of every document."""
+    return licenses.summary(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+@query(
+    "op9_chat",
+    """
+    WITH c AS (
+        SELECT conv_id, list({'r': role, 't': text} ORDER BY turn, role, text) AS said
+        FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations) GROUP BY conv_id
+    ), begun AS (SELECT DISTINCT said[1:k] AS said FROM c, unnest(range(1, len(said))) AS _(k)
+    ), whole AS (SELECT said, min(conv_id) AS conv_id FROM c GROUP BY said)
+    SELECT conv_id, 0::BIGINT AS part, len(said)::BIGINT AS n_turns,
+        array_to_string(list_transform(said, lambda x: '<|im_start|>' || coalesce(x.r, '') || chr(10)
+            || coalesce(x.t, '') || '<|im_end|>' || chr(10)), '') AS text
+    FROM whole ANTI JOIN begun USING (said)
+    """,
+)
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chat texts of all conversations that no longer one begins with."""
+    return chat.render(table(spark, sf_dir, "conversations"))
