@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, embeddings, exact, licenses, minhash, mixing, quality, tokens, toxicity
+from newslake.llm import chat, embeddings, exact, licenses, minhash, mixing, quality, tokens, toxicity, wrappers
 from newslake.llm.common import table
 
 QUERIES = {}
@@ -151,3 +151,9 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chat texts of all conversations that no longer one begins with."""
     return chat.render(table(spark, sf_dir, "conversations"))
+
+
+@query("op5_main_text")
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
