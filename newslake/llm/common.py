@@ -12,23 +12,36 @@ from pyspark.sql.types import StructType
 from newslake.session import work_dir
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """The place of a column: a name in the right case wins, then the first one."""
+    names = df.columns
+    same = [i for i, n in enumerate(names) if n == name] or [i for i, n in enumerate(names) if n.lower() == name.lower()]
+    if not same:
+        raise ValueError(f"no column {name!r} among {names}")
+    return same[0]
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns, named ``c0, c1, ...``: names that clash do no harm."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, renamed: ``pick(df, id="doc_id")``.
 
     Columns are found by place, so others whose names clash, even twins that differ
-    in case only, do no harm.  A name in the right case wins, then the first one.
+    in case only, do no harm.
     """
-    names = df.columns
-    places = {}
-    for new, old in columns.items():
-        same = [i for i, n in enumerate(names) if n == old] or [
-            i for i, n in enumerate(names) if n.lower() == old.lower()
-        ]
-        if not same:
-            raise ValueError(f"no column {old!r} among {names}")
-        places[new] = same[0]
-    apart = df.toDF(*[f"c{i}" for i in range(len(names))])
-    return apart.select(*[F.col(f"c{i}").alias(new) for new, i in places.items()])
+    places = {new: place_of(df, old) for new, old in columns.items()}
+    return by_place(df).select(*[F.col(f"c{i}").alias(new) for new, i in places.items()])
+
+
+def rows_of_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The whole rows whose id is in the one column of ``ids``; nulls equal each other."""
+    wanted = ids.toDF("wanted")
+    apart = by_place(df)
+    same = apart[f"c{place_of(df, id_col)}"].eqNullSafe(wanted["wanted"])
+    return apart.join(wanted, same, "left_semi").toDF(*df.columns)
 
 
 def map_batches(

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm.common import pick, remove, write, written
+from newslake.llm.common import by_place, pick, place_of, remove, rows_of_ids, write, written
 from newslake.session import work_dir
 
 #: Members of a group that are compared with one dealt-out copy of its content.
@@ -134,3 +134,11 @@ def duplicates(
         F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
         "digest",
     )
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The whole rows of one document per text; rows that repeat an id and its text become one."""
+    kept = duplicates(docs, id_col, text_col).filter("kept").select(id_col)
+    rows = by_place(rows_of_ids(docs, id_col, kept.distinct()))
+    once = rows.dropDuplicates([f"c{place_of(docs, c)}" for c in (id_col, text_col)])
+    return once.toDF(*docs.columns)

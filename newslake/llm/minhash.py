@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from newslake.llm.common import map_batches, pick, remove, write
+from newslake.llm.common import map_batches, pick, remove, rows_of_ids, write
 from newslake.llm.components import connected
 
 WORDS = 5
@@ -220,6 +220,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The whole rows of one document per component; documents without words all stay."""
+    kept = near_duplicates(docs, id_col, text_col).filter("kept").select(id_col)
+    return rows_of_ids(docs, id_col, kept.distinct())
+
+
 def _across_components(members: DataFrame, joined: DataFrame, tried: DataFrame) -> DataFrame:
     """Untried pairs of buckets whose members are in several components."""
     spark = members.sparkSession

@@ -18,14 +18,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import pick, written
+from newslake.llm.common import by_place, pick, place_of, written
 from newslake.operators.ordering import running_totals
 
 #: Target entropy as a share of that of equal weights.
-EVENNESS = 0.97
+EVENNESS = 0.95
 #: How often a source may be gone through for each time of the least repeated one.
-REPEATS = 4.0
-BLOCK_TOKENS = 1 << 18
+REPEATS = 2.0
+BLOCK_TOKENS = 1 << 17
 #: Exponents are looked for in so many rounds with so many points each; 12 decimals come out, 6 are kept.
 ROUNDS, POINTS = 10, 15
 SEED = "mix"
@@ -143,3 +143,17 @@ def mix(
             "place",
         )
     )
+
+
+def dealt(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **targets) -> DataFrame:
+    """The whole rows of the mix, as often as they are used.
+
+    A block is in one partition, its rows in the order of the block.  Rows that share an
+    id are all used where one of them is.
+    """
+    uses = mix(df, id_col, source_col, text_col, **targets).withColumnRenamed(id_col, "used")
+    once = uses.groupBy("used", "pass").agg(F.min(F.struct("block", "place")).alias("at"))
+    rows = by_place(df)
+    mixed = rows.join(once, rows[f"c{place_of(df, id_col)}"].eqNullSafe(once["used"]))
+    ordered = mixed.repartition("at.block").sortWithinPartitions("at")
+    return ordered.select(*rows.columns).toDF(*df.columns)

@@ -15,6 +15,7 @@ import functools
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 from pathlib import Path
 
 import ahocorasick
@@ -27,7 +28,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from newslake.llm.common import map_batches, pick
 
 #: A cache of a task holds at most twice so many entries.
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 16
+#: Rows that go out together.
+ROWS_OUT = 256
 #: Texts are split into pieces in blocks of about so many characters.
 BLOCK_CHARS = 1 << 20
 #: Characters with Unicode's White_Space property (fixed values).
@@ -61,18 +64,29 @@ class Recent(dict):
         self[key] = value
 
 
-class Codec:
-    """Encoder and decoder of one rank file."""
+def read_ranks(ranks_file: bytes) -> dict[bytes, int]:
+    lines = (line.split() for line in ranks_file.splitlines() if line.strip())
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
+def bytes_by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+class Encoder:
+    """Encoder of one rank file."""
 
     def __init__(self, ranks_file: bytes, pattern: str):
-        lines = (line.split() for line in ranks_file.splitlines() if line.strip())
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
+        self.ranks = read_ranks(ranks_file)
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
-        size = max(self.ranks.values()) + 1
+        self.bytes_of = bytes_by_id(self.ranks)
+        size = len(self.bytes_of)
         self.pieces_of = regex.compile(pattern).findall
-        self.bytes_of: list[bytes] = [b""] * size
         #: When BPE makes a token: its rank, or -1 for the single bytes it starts from.
         self.born = [-1] * size
         self.parts: list[tuple[int, int]] = [(0, 0)] * size
@@ -87,8 +101,6 @@ class Codec:
         self._pieces = Recent()
 
     def _build(self) -> None:
-        for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
         for token, rank in sorted(self.ranks.items(), key=lambda x: (len(x[0]) > 1, x[1])):
             if len(token) > 1 and not self._split(token, rank):
                 continue  # the merges never give it; only a piece that equals it does
@@ -208,9 +220,6 @@ class Codec:
         packed = b"".join(out)
         return packed if sys.byteorder == "little" else np.frombuffer(packed, "=u4").astype("<u4").tobytes()
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
-
 
 def blocks(text: str, size: int = BLOCK_CHARS) -> list[str]:
     """Cut a text at places where a word ends, after about ``size`` characters each."""
@@ -224,9 +233,18 @@ def blocks(text: str, size: int = BLOCK_CHARS) -> list[str]:
 
 
 @functools.lru_cache(maxsize=2)
-def codec(ranks_file: bytes, pattern: str) -> Codec:
+def encoder(ranks_file: bytes, pattern: str) -> Encoder:
     """One per Python worker and vocabulary."""
-    return Codec(ranks_file, pattern)
+    return Encoder(ranks_file, pattern)
+
+
+@functools.lru_cache(maxsize=2)
+def decoder(ranks_file: bytes) -> list[bytes]:
+    return bytes_by_id(read_ranks(ranks_file))
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, ROWS_OUT) for at in range(0, batch.num_rows, ROWS_OUT))
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,18 +264,19 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     rows = pick(df, id=id_col, text=text_col)
     kind = dict(rows.dtypes)["id"]
 
-    def work(batch: pa.RecordBatch):
-        coder = codec(ranks, pattern)
-        ids = [coder.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
-        counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), counts, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"]
-        )
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        to_ids = encoder(ranks, pattern).encode
+        for part in slices(batch):
+            ids = [to_ids(t) if t else b"" for t in part.column("text").to_pylist()]
+            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), counts, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"]
+            )
 
     return map_batches(rows, work, f"id {kind}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
 
 
-def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """Add ``decoded binary``, the bytes of the packed ids; null ids give empty bytes.
 
     A column named ``decoded`` is replaced.  The bytes of whole encodings are the
@@ -265,13 +284,13 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -
     """
     ranks = Path(ranks_path).read_bytes()
     rows = df.drop("decoded")
+    schema = StructType([*rows.schema.fields, StructField("decoded", BinaryType())])
 
-    def work(batch: pa.RecordBatch):
-        coder = codec(ranks, pattern)
-        decoded = [coder.decode(x) if x else b"" for x in batch.column(ids_col).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
-        )
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bytes_of = decoder(ranks).__getitem__
+        for part in slices(batch):
+            packed = (np.frombuffer(x or b"", "<u4") for x in part.column(ids_col).to_pylist())
+            decoded = [b"".join(map(bytes_of, ids.tolist())) for ids in packed]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], schema.names)
 
-    schema = StructType([*rows.schema.fields, StructField("decoded", BinaryType())])
     return map_batches(rows, work, schema)
