@@ -1,14 +1,52 @@
-"""The training-data pipeline: stages over documents, each written and read again."""
+"""The training-data pipeline: stages over documents, each written and read again.
+
+A stage takes ``(spark, docs, sf_dir)``, works on all that the one before it kept, and
+returns the columns of its input; the last one returns token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from newslake.llm import exact, minhash, mixing, tokens, toxicity
 from newslake.llm.common import table, written
 
-STAGES = []
 
-#: The stages are trained, stateful or decode bytes: SQL cannot express them.
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic; the model learns from the labelled ones among them."""
+    return toxicity.keep(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact.keep(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return minhash.keep(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, those of small sources more often, in mixed blocks."""
+    return mixing.dealt(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every row; the ids as little-endian 32-bit integers."""
+    return tokens.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact", drop_copies),
+    ("minhash", drop_near_copies),
+    ("mixing", mix_sources),
+    ("tokens", encode),
+]
+
+#: The stages learn, keep state and verify sets: SQL cannot express them.
 ORACLE_SQL = None
 
 
