@@ -26,6 +26,8 @@ GRAMS = (3, 4, 5, 6)
 DIMS = 8
 BATCH = 64
 RATE = 0.5
+#: The output layer learns at this share of the rate.
+OUTPUT_RATE = 0.2
 #: Labelled documents of each class that a model is fitted on at most, and their bytes.
 SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 16 << 20
@@ -99,7 +101,8 @@ class Model:
 class Trainer:
     """Joint stochastic gradient descent over passages, with rates that adapt per bucket."""
 
-    def __init__(self, texts: list[list[str]], labels: list[int], passage: int | None, seed: int = 7):
+    def __init__(self, texts: list[list[str]], labels: list[int], passage: int | None, rate: float = RATE, seed: int = 7):
+        self.rate = rate
         self.random = np.random.default_rng(seed)
         vocabulary: dict[str, int] = {}
         self.passages: list[np.ndarray] = []
@@ -140,8 +143,8 @@ class Trainer:
         chance /= chance.sum(axis=1, keepdims=True)
         chance[np.arange(len(rows)), targets] -= 1
         slope = (chance @ self.output.T) / sizes[:, None]
-        self.output -= RATE * 0.2 * (means.T @ chance) / len(rows)
-        self.bias -= RATE * 0.2 * chance.mean(axis=0)
+        self.output -= self.rate * OUTPUT_RATE * (means.T @ chance) / len(rows)
+        self.bias -= self.rate * OUTPUT_RATE * chance.mean(axis=0)
         to_words = np.empty((len(distinct), DIMS))
         per_place = np.repeat(slope, sizes, axis=0)
         for d in range(DIMS):
@@ -150,7 +153,7 @@ class Trainer:
         touched, at = np.unique(buckets, return_inverse=True)
         change = np.stack([np.bincount(at, per_bucket[:, d], len(touched)) for d in range(DIMS)], axis=1)
         self.seen[touched] += (change**2).mean(axis=1)
-        self.vectors[touched] -= RATE * change / np.sqrt(self.seen[touched])[:, None]
+        self.vectors[touched] -= self.rate * change / np.sqrt(self.seen[touched])[:, None]
 
     def epoch(self, rows: np.ndarray) -> None:
         rows = self.random.permutation(rows)
@@ -173,7 +176,12 @@ class Trainer:
 
 
 def fit(
-    texts: list[list[str]], labels: list[int], passage: int | None = None, epochs: int = 4, rounds: int = 0
+    texts: list[list[str]],
+    labels: list[int],
+    passage: int | None = None,
+    epochs: int = 4,
+    rounds: int = 0,
+    rate: float = RATE,
 ) -> Model:
     """Learn from whole passages, then ``rounds`` times from every text's highest one.
 
@@ -183,7 +191,7 @@ def fit(
     if len({y for _, y in usable}) < 2:
         share = (sum(labels) + 1) / (len(labels) + 2)
         return Model(np.zeros(BUCKETS, np.float32), 0.0, share)
-    trainer = Trainer([t for t, _ in usable], [y for _, y in usable], passage)
+    trainer = Trainer([t for t, _ in usable], [y for _, y in usable], passage, rate)
     for _ in range(epochs):
         trainer.epoch(np.arange(len(trainer.passages)))
     for _ in range(rounds):

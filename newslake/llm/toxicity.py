@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from newslake.llm import subwords
 from newslake.llm.common import by_place, pick, place_of
 
-PASSAGE_WORDS = 48
+PASSAGE_WORDS = 32
 THRESHOLD = 0.7
-EPOCHS, ROUNDS = 2, 6
+EPOCHS, ROUNDS, RATE = 2, 8, 1.0
 _WORD = re.compile(r"[^\W_]+(?:['@$*_.!-][^\W_]+)*")
 
 
@@ -54,7 +54,7 @@ def train(
     """
     rows = pick(docs, id=id_col, text=text_col)
     found = subwords.sample(rows, labels, "toxic", ~held_out(F.col("id")), per_class, sample_bytes)
-    return subwords.fit([words(t) for _, _, t in found], [y for _, y, _ in found], PASSAGE_WORDS, EPOCHS, ROUNDS)
+    return subwords.fit([words(t) for _, _, t in found], [y for _, y, _ in found], PASSAGE_WORDS, EPOCHS, ROUNDS, RATE)
 
 
 def score(docs: DataFrame, model: subwords.Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
