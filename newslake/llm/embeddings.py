@@ -1,7 +1,7 @@
 """Near duplicates among embeddings by E8 lattice hashing.
 
 A vector of length one is projected to ``BLOCKS`` times eight random directions per
-table, scaled, and each block is decoded to the nearest point of the lattice E8 (D8 and
+table, scaled (``SCALE`` for 64 components, by their root for others), and each block is decoded to the nearest point of the lattice E8 (D8 and
 D8 shifted by one half).  The points of all blocks are the vector's home cell.  It also
 probes the neighbouring cells in which one block has the nearest point of the other half
 of the lattice.  Two vectors meet where the home of one is the home or a probe of the
@@ -69,7 +69,7 @@ def _projections(dims: int) -> np.ndarray:
         parts = []
         while sum(p.shape[1] for p in parts) < wanted:
             parts.append(np.linalg.qr(random.normal(size=(dims, min(dims, wanted))))[0])
-        sets.append(np.hstack(parts)[:, :wanted] * SCALE)
+        sets.append(np.hstack(parts)[:, :wanted] * SCALE * np.sqrt(dims / 64))
     return np.stack(sets)
 
 

@@ -12,9 +12,11 @@ probability ``(1 - (1 - 0.75 ** 3) ** 16) ** 2`` = 0.9997 (0.8: 0.99998).
    are combined to keys.
 3. In every bucket the smallest member is paired with each other one: as many pairs as
    members.  Pairs whose set sizes allow the similarity are confirmed on full sets.
-4. Buckets whose members are then still in several components get the pairs between
-   the components, so no link that a bucket shows is lost, and groups of near copies
-   are not expanded into all their pairs.
+4. In buckets whose members are then still in several components, members of different
+   components are compared by one byte of each minhash, within a task and without a row
+   per pair.  Pairs that agree in ``LEAST`` of 96 bytes are confirmed on full sets.  A
+   pair at 0.75 agrees in fewer with probability 0.00006; dissimilar documents that
+   share a passage seldom reach it.  Large buckets are compared block by block.
 """
 
 from __future__ import annotations
@@ -34,6 +36,10 @@ from newslake.llm.components import connected
 WORDS = 5
 PERCENT = 75
 ROWS, SIDE = 3, 16
+#: Bytes of the 96 minhashes in which a pair must agree to be confirmed in step 4.
+LEAST = 56
+#: Members of a bucket that are compared at a time.
+BLOCK_ROWS = 1024
 #: Documents that are hashed at a time.
 DOCS_AT_ONCE = 256
 #: Word hashes that a Python worker remembers at most.
@@ -80,17 +86,20 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def short_hashes(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ``2 * SIDE`` combined minhashes per non-empty set."""
+def short_hashes(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of non-empty sets: ``2 * SIDE`` combined minhashes, and one byte of each minhash."""
     values = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
     combined = np.empty((len(sets), 2 * SIDE), np.uint64)
+    sketch = np.empty((len(sets), 2 * SIDE * ROWS), np.uint8)
     for place in range(2 * SIDE):
         total = np.full(len(sets), place, np.uint64)
         for n in range(place * ROWS, (place + 1) * ROWS):
-            total = mixed(total + np.minimum.reduceat((values ^ _MASKS[n]) * _ODD[n], starts))
+            least = mixed(np.minimum.reduceat((values ^ _MASKS[n]) * _ODD[n], starts))
+            sketch[:, n] = (least >> np.uint64(40)).astype(np.uint8)
+            total = mixed(total + least)
         combined[:, place] = total
-    return combined
+    return combined, sketch
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -106,16 +115,19 @@ def _lists(values: list[np.ndarray] | np.ndarray) -> pa.ListArray:
 
 
 def _signatures(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    names = ["id", "n", "shape", "short"]
     for ids, sets in _parts(batch):
         rows = [i for i, s in enumerate(sets) if len(s)]
         short: list[np.ndarray] = [np.empty(0, np.uint64)] * len(sets)
+        sketches = marks = [b""] * len(sets)
         if rows:
-            for i, row in zip(rows, short_hashes([sets[i] for i in rows]), strict=True):
-                short[i] = row
+            combined, bytes_of = short_hashes([sets[i] for i in rows])
+            sketches, marks = list(sketches), list(marks)
+            for i, row, sketch in zip(rows, combined, bytes_of, strict=True):
+                short[i], sketches[i], marks[i] = row, sketch.tobytes(), row.astype(np.uint32).tobytes()
         sizes = pa.array([len(s) for s in sets], pa.int64())
-        shapes = pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
-        yield pa.RecordBatch.from_arrays([ids, sizes, shapes, _lists(short)], names)
+        shapes = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        binary = [pa.array(c, pa.binary()) for c in (shapes, sketches, marks)]
+        yield pa.RecordBatch.from_arrays([ids, sizes, *binary, _lists(short)], ["id", "n", "shape", "sketch", "marks", "short"])
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -134,11 +146,14 @@ def _shared_hashes(classes: DataFrame) -> DataFrame:
 
 
 def _table_rows(own: DataFrame) -> DataFrame:
-    """``key, id, n``: one row per table in which a class may meet another one."""
+    """``key, place, id, n``: one row per table in which a class may meet another one."""
     first = F.filter("own", lambda x: x["place"] < SIDE)
     second = F.filter("own", lambda x: x["place"] >= SIDE)
-    keys = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x, y))))
-    return own.select(F.explode(keys).alias("key"), "id", "n")
+    one = lambda x, y: F.struct(
+        F.xxhash64(x, y).alias("key"), (x["place"] * SIDE + y["place"] - SIDE).cast("short").alias("place")
+    )
+    tables = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: one(x, y))))
+    return own.select(F.inline(tables), "id", "n")
 
 
 def _may_link(n: str, m: str):
@@ -177,13 +192,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = df.sparkSession
     docs = pick(df, id=id_col, text=text_col)
-    schema = f"id {dict(docs.dtypes)['id']}, n long, shape binary, short array<long>"
+    schema = f"id {dict(docs.dtypes)['id']}, n long, shape binary, sketch binary, marks binary, short array<long>"
     signed = write(map_batches(docs, _signatures, schema), "signatures")
     rows = spark.read.parquet(signed)
     classes = (
         rows.filter("n > 0 AND id IS NOT NULL")
         .groupBy("shape")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short"))
+        .agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "sketch", "marks", "short")])
     )
     buckets = write(_table_rows(_shared_hashes(classes)), "buckets")
     members = spark.read.parquet(buckets)
@@ -202,7 +217,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = _confirmed(spark.read.parquet(tried), docs)
     joined = connected(links)
 
-    across = write(_across_components(members, joined, spark.read.parquet(tried)), "across")
+    across = write(_across_components(members, joined, classes, spark.read.parquet(tried)), "across")
     more = _confirmed(spark.read.parquet(across), docs)
     roots = connected(joined.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more))
 
@@ -226,17 +241,65 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return rows_of_ids(docs, id_col, kept.distinct())
 
 
-def _across_components(members: DataFrame, joined: DataFrame, tried: DataFrame) -> DataFrame:
-    """Untried pairs of buckets whose members are in several components."""
+def _across_components(members: DataFrame, joined: DataFrame, classes: DataFrame, tried: DataFrame) -> DataFrame:
+    """Untried pairs, from different components, that a bucket's sketches hold for similar."""
     spark = members.sparkSession
     labelled = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", F.coalesce("root", "id").alias("root")
+        "key", "place", "id", "n", F.coalesce("root", "id").alias("root")
     )
-    path = write(labelled, "labelled")
-    rows = spark.read.parquet(path)
-    mixed_keys = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("key")
-    open_rows = rows.join(mixed_keys, "key", "left_semi")
-    left = open_rows.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = open_rows.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = left.join(right, "key").filter("a < b AND ra != rb").filter(_may_link("na", "nb")).select("a", "b").distinct()
+    rows = spark.read.parquet(write(labelled, "labelled"))
+    several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c"))
+    blocks = F.ceil(F.col("c") / BLOCK_ROWS).cast("int").alias("blocks")
+    several = spark.read.parquet(write(several.filter("x != y").select("key", blocks), "several"))
+    facing = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    block = F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")
+    dealt = rows.join(several, "key").select("key", "place", "id", "n", "root", block, facing.alias("other"))
+    groups = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    groups = groups.join(classes.select("id", "sketch", "marks"), "id")
+    kind = dict(members.dtypes)["id"]
+    sorted_groups = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = sorted_groups.mapInArrow(_similar_sketches, f"a {kind}, b {kind}")
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by group; groups may go over the ends of batches."""
+    names = ["key", "i", "j", "place", "id", "n", "root", "block", "sketch", "marks"]
+    key, rows = None, []
+    for batch in batches:
+        for *group, place, doc, n, root, block, sketch, marks in zip(
+            *[batch.column(c).to_pylist() for c in names], strict=True
+        ):
+            if group != key:
+                yield from _open_pairs(key, rows, batch.schema.field("id").type)
+                key, rows = group, []
+            rows.append((doc, place, n, root, block, sketch, marks))
+    if rows:
+        yield from _open_pairs(key, rows, batch.schema.field("id").type)
+
+
+def _open_pairs(key: list | None, rows: list[tuple], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Pairs of one group; a pair that meets in several tables is given in the first one."""
+    if len(rows) < 2:
+        return
+    ids, places, sizes, roots, block, sketches, marks = zip(*rows, strict=True)
+    sizes, block = np.array(sizes), np.array(block)
+    roots = np.unique(np.array(roots, dtype=object).astype(str), return_inverse=True)[1]
+    sketches = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(rows), -1)
+    marks = np.frombuffer(b"".join(marks), np.uint32).reshape(len(rows), 2, SIDE)
+    largest = np.bincount(roots).argmax()
+    a, b = [], []
+    for r in np.flatnonzero(roots != largest):
+        others = (roots != roots[r]) & ((roots == largest) | (np.arange(len(rows)) > r))
+        others &= 100 * np.minimum(sizes, sizes[r]) >= PERCENT * np.maximum(sizes, sizes[r])
+        if key[1] != key[2]:
+            others &= block != block[r]
+        others = np.flatnonzero(others)
+        others = others[(sketches[others] == sketches[r]).sum(axis=1) >= LEAST]
+        first = (marks[others] == marks[r]).argmax(axis=2)
+        others = others[first[:, 0] * SIDE + first[:, 1] == places[r]]
+        a += [ids[r]] * len(others)
+        b += [ids[o] for o in others]
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
