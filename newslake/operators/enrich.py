@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newslake.functions.html import extract_main_content
 from newslake.functions.text import is_blank, is_blocked_or_paywalled, strip
 from newslake.operators.filters import MIN_FULL_LENGTH
+from newslake.operators.ordering import first_per_key
 from newslake.operators.stats import newest
 
 
@@ -15,7 +16,8 @@ def fetch_outcomes(requests: DataFrame, pages: DataFrame) -> DataFrame:
     """What fetching the page of every requested item gave.
 
     ``requests`` are items ``(title, link, publish_date, source, category)``,
-    ``pages`` the fetched bodies ``(link, status, html)``, one per link.  A page
+    ``pages`` the fetched bodies ``(link, status, html)``, one per link.  Several
+    fetches of a link need a column ``fetched_at``; the newest one counts.  A page
     counts as fetched if its status is 200 and it is neither blocked nor behind a
     paywall.  The output adds ``content, raw_length, cleaned_length,
     fetch_status, error``, and keeps an arrival number ``seq`` if there is one.
@@ -28,6 +30,9 @@ def fetch_outcomes(requests: DataFrame, pages: DataFrame) -> DataFrame:
         F.coalesce("source", F.lit("Unknown")).alias("source"),
         F.coalesce("category", F.lit("unknown")).alias("category"),
     ).withColumn("skipped", (F.col("title") == "") | (F.col("link") == ""))
+    if "fetched_at" in pages.columns:
+        newest_first = [F.col("fetched_at").desc_nulls_last(), F.col("status"), F.col("html")]
+        pages = first_per_key(pages.select("link", "status", "html", "fetched_at"), ["link"], newest_first)
     usable = F.coalesce((F.col("status") == 200) & ~is_blocked_or_paywalled("status", "html"), F.lit(False))
     # Only requested pages are read for their text, each once, before the join can repeat it.
     asked = items.filter(~F.col("skipped")).select("link").distinct()

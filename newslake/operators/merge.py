@@ -2,14 +2,16 @@
 
 Several new rows of one link are first folded to one with partial aggregates,
 so a link that fills a third of the batch costs no more than any other.  The
-stored table is then only looked up: if the folded batch is small, Spark
-broadcasts it and the stored table is not shuffled.
+stored table is then only looked up: if the folded batch is below the broadcast
+threshold, Spark broadcasts it and the stored table is not shuffled; a larger batch
+shuffles both sides by link.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from newslake.operators.ordering import first_per_key, number_rows
 from newslake.schemas import CONTENT_STATUSES
@@ -107,6 +109,8 @@ def _updated_rows(stored: DataFrame, folded: DataFrame) -> DataFrame:
 def merge_articles(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """The store after ``incoming (seq, link, title, ...)`` was saved row by row.
 
+    ``seq`` orders the rows; it is a number, or a struct of a batch and a number in it.
+
     Adds the flags ``inserted`` and ``updated``.  New links get the ids that follow
     the highest stored one, in arrival order.
     """
@@ -122,8 +126,12 @@ def merge_articles(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 def assign_ids(new_rows: DataFrame, stored: DataFrame, order: str = "seq") -> DataFrame:
     """Give new rows the ids after the highest stored id, in order."""
     highest = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    bucket = F.shiftright(F.col(order).cast("long"), 20)
-    numbered = number_rows(new_rows, [bucket], [order], "_n")
+    if isinstance(new_rows.schema[order].dataType, StructType):  # the batch, then the number in it
+        batch, seq = (F.col(f"{order}.{f.name}") for f in new_rows.schema[order].dataType.fields)
+        buckets = [batch, F.shiftright(seq, 20)]
+    else:
+        buckets = [F.shiftright(F.col(order).cast("long"), 20)]
+    numbered = number_rows(new_rows, buckets, [order], "_n")
     return numbered.withColumn("id", highest + F.col("_n")).drop("_n")
 
 

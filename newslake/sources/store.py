@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,101 +56,56 @@ def articles_for_processing(
 
 
 def split_slice(df: DataFrame, id_col: str, n: int | None = None, percent: float | None = None) -> DataFrame:
-    """The first ``n`` rows by id, or the first ``percent`` of them."""
+    """The first ``n`` rows by id, or the first ``percent`` of them, rounded to the nearest row."""
     if n is not None:
         return df.orderBy(id_col).limit(n)
-    bound = df.agg(F.percentile_approx(id_col, percent / 100.0, 10000).alias("p")).scalar()
-    return df.filter(F.col(id_col) <= bound)
-
+    # Ranges of the id are buckets of about even size, so no task numbers the whole table.
+    from newslake.operators.ordering import number_rows
 
-class SnapshotStore:
-    """A table kept as numbered snapshots below one folder.
-
-    A write never touches the snapshot readers use: it fills the next folder, and
-    the folder counts from the moment its success marker is there.  Writing a
-    version again replaces it, so a repeated batch does no harm.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def versions(self) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS"))
-        numbers = [re.search(r"/v=(\d+)/", str(s.getPath())) for s in (done or [])]
-        return sorted(int(n.group(1)) for n in numbers if n)
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """A snapshot, by default the latest; None if there is none yet."""
-        known = self.versions()
-        if version is None:
-            version = known[-1] if known else None
-        if version is None or version not in known:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v={version}")
-
-    def before(self, version: int) -> DataFrame | None:
-        """The newest snapshot older than ``version``."""
-        older = [v for v in self.versions() if v < version]
-        return self.read(older[-1]) if older else None
-
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        if version is None:
-            known = self.versions()
-            version = known[-1] + 1 if known else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        return version
+    ranged = df.repartitionByRange(id_col).withColumn("_range", F.spark_partition_id())
+    numbered = number_rows(ranged, [F.col("_range")], [id_col], "_row")
+    wanted = F.round(F.lit(percent / 100.0) * df.count())
+    return numbered.filter(F.col("_row") <= wanted).select(*df.columns)
 
 
 class ArticleLog:
-    """The article store of a stream: a base snapshot and the changes since.
+    """The article store of a stream: a base table and the changes since, a folder per batch.
 
     A batch only appends its own rows, so its cost does not grow with the store.
-    Readers see base and changes merged; :meth:`compact` makes that the new base.
-    A batch that runs again replaces its own rows and nothing else.
+    Readers see base and changes merged.  A batch that runs again replaces its own
+    rows and nothing else.  To start afresh, write ``current()`` elsewhere and make
+    a new log on it.
     """
 
     CHANGES = [
         "seq", "link", "title", "publish_date", "source", "category", "content", "full_content", "full_content_status"
     ]
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, base: DataFrame | None = None):
         self.spark = spark
-        self.path = path.rstrip("/")
-        self.base = SnapshotStore(spark, f"{self.path}/base")
-        self.batches = SnapshotStore(spark, f"{self.path}/changes")
+        self.path = f"{path.rstrip('/')}/changes"
+        self.base = base
 
     def append(self, incoming: DataFrame, batch_id: int) -> None:
-        """Write the rows of a batch; ``seq``, below 2^50, orders them inside it."""
-        self.batches.write(incoming.select(self.CHANGES), batch_id)
-
-    def _changes(self, after: int) -> DataFrame | None:
-        paths = [f"{self.batches.path}/v={b}" for b in self.batches.versions() if b > after]
-        if not paths:
-            return None
-        rows = self.spark.read.option("basePath", self.batches.path).parquet(*paths)
-        return rows.withColumn("seq", F.shiftleft(F.col("v").cast("long") - (after + 1), 50) + F.col("seq")).drop("v")
+        """Write the rows of a batch; ``seq`` orders them inside it."""
+        incoming.select(self.CHANGES).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def changes(self) -> DataFrame:
+        """All rows since the base, ordered by batch and then by their number in it."""
+        types = ", ".join(f"{c} string" for c in self.CHANGES[1:])
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return self.spark.createDataFrame([], f"seq struct<batch: long, seq: long>, {types}")
+        rows = self.spark.read.schema(f"seq long, {types}, batch long").parquet(self.path)
+        return rows.withColumn("seq", F.struct("batch", "seq")).drop("batch")
 
     def current(self) -> DataFrame:
         """All articles as of the last batch."""
         from newslake.operators.merge import STORED, merge_articles
 
-        known = self.base.versions()
         schema = ", ".join(f"{c} string" for c in STORED)
-        stored = self.base.read() if known else self.spark.createDataFrame([], f"id long, {schema}")
-        changes = self._changes(known[-1] if known else -1)
-        if changes is None:
-            return stored
-        return merge_articles(stored, changes).drop("inserted", "updated")
-
-    def compact(self) -> int | None:
-        """Write base and changes as the new base; its number is the last batch in it."""
-        done = self.batches.versions()
-        if not done or done[-1] in self.base.versions():
-            return None
-        return self.base.write(self.current(), done[-1])
+        stored = self.base if self.base is not None else self.spark.createDataFrame([], f"id long, {schema}")
+        return merge_articles(stored, self.changes()).drop("inserted", "updated")
 
 
 def latest_processed_id(processed: DataFrame) -> DataFrame:

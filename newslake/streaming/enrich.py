@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from newslake.functions.dates import now_iso
-from newslake.operators.enrich import enrich_or_fall_back, fetch_outcomes, successful
+from newslake.functions.text import strip
+from newslake.operators.enrich import fetch_outcomes, successful
 from newslake.schemas import ITEM_MESSAGE
 from newslake.session import cut_lineage
 from newslake.sources.store import ArticleLog
@@ -22,7 +23,7 @@ def split_messages(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = parsed.filter(~F.col("malformed")).drop("malformed", "value")
     bad = parsed.filter("malformed").select(
         F.lit("enrichment_failure").alias("type"),
-        F.concat(F.lit("malformed message: "), F.substring(F.coalesce("value", F.lit("")), 1, 200)).alias("error"),
+        F.concat(F.lit("malformed message: "), F.coalesce("value", F.lit(""))).alias("error"),
     )
     return good, bad
 
@@ -40,11 +41,30 @@ def as_items(messages: DataFrame) -> DataFrame:
 
 
 def enrich_messages(messages: DataFrame, pages: DataFrame) -> DataFrame:
-    """Messages with ``full_content`` and ``enrichment_status``; the summary stays if there is no text."""
+    """Messages with ``full_content`` and ``enrichment_status``; the summary stays if there is no text.
+
+    Each message is judged by itself: one without a title is skipped, whatever
+    other messages of its link have.
+    """
     wanted = as_items(messages)
-    outcomes = fetch_outcomes(wanted.dropDuplicates(["link"]), pages)
-    texts = successful(outcomes).select("link", "content")
-    return enrich_or_fall_back(messages, texts)
+    given = (strip(F.coalesce(F.col("title"), F.lit(""))) != "") & (strip(F.coalesce(F.col("link"), F.lit(""))) != "")
+    links = wanted.filter(given).select(strip(F.col("link")).alias("link")).distinct()
+    requests = links.select("link", F.lit("-").alias("title"), *[F.lit("").alias(c) for c in ("publish_date", "source", "category")])
+    texts = successful(fetch_outcomes(requests, pages)).select(F.col("link").alias("_link"), F.col("content").alias("full_content"))
+    titled = strip(F.coalesce(messages["title"], F.lit(""))) != ""
+    asked = F.when(titled, strip(messages["link"]))
+    enriched = messages.withColumn("_asked", asked)
+    enriched = enriched.join(texts, enriched["_asked"] == texts["_link"], "left").drop("_asked", "_link")
+    status = F.when(F.col("full_content").isNull(), F.lit("summary_only")).otherwise(F.lit("full"))
+    return enriched.withColumn("enrichment_status", status)
+
+
+def failed_fetches(enriched: DataFrame) -> DataFrame:
+    """An alert for every message whose page gave no text."""
+    return enriched.filter(F.col("enrichment_status") == "summary_only").select(
+        F.lit("enrichment_failure").alias("type"),
+        F.concat(F.lit("Failed to fetch: "), F.coalesce("link", F.lit(""))).alias("error"),
+    )
 
 
 def to_cleaned(enriched: DataFrame, at=None) -> DataFrame:
@@ -67,9 +87,16 @@ class EnrichmentJob:
     so a batch that runs again leaves the same result.  Nothing outside the batch
     is rewritten; the store is compacted by a job of its own.  ``pages`` is read
     once per batch and should hold recent fetches, not an archive.
+
+    A message without a text is stored with its summary.  With ``alert_on_failure``
+    it is neither stored nor published but raises an alert, as a synchronous
+    consumer does.
     """
 
-    def __init__(self, store: ArticleLog, pages: DataFrame, cleaned_path: str, alerts_path: str):
+    def __init__(
+        self, store: ArticleLog, pages: DataFrame, cleaned_path: str, alerts_path: str, alert_on_failure: bool = False
+    ):
+        self.alert_on_failure = alert_on_failure
         self.store = store
         self.pages = pages
         self.cleaned_path = cleaned_path.rstrip("/")
@@ -79,6 +106,9 @@ class EnrichmentJob:
         good, bad = split_messages(raw)
         # Three sinks read the batch; the checkpoint makes them see the same rows.
         enriched = cut_lineage(to_cleaned(enrich_messages(good, self.pages)))
+        if self.alert_on_failure:
+            bad = bad.unionByName(failed_fetches(enriched))
+            enriched = enriched.filter(F.col("enrichment_status") == "full")
         self.store.append(_incoming(enriched), batch_id)
         keyed_json(enriched).write.mode("overwrite").json(f"{self.cleaned_path}/batch={batch_id}")
         keyed_json(bad.withColumn("ts", now_iso()), None).write.mode("overwrite").json(

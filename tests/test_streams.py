@@ -109,6 +109,36 @@ def test_fallback_keeps_every_message(spark):
     assert got == {"m0": "full", "m1": "full", "m2": "summary_only", "m3": "summary_only", "m4": "summary_only"}
 
 
+def test_messages_of_a_link_are_judged_one_by_one(spark):
+    rows = [json.loads(message(n, "a", title=t)) for n, t in enumerate(["", "titled", None, " ", "other"])]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame([tuple(r[f] for f in ITEM_MESSAGE.fieldNames()) for r in order], ITEM_MESSAGE)
+        got = {r.id: r.enrichment_status for r in enrich_messages(frame, pages(spark)).collect()}
+        assert got == {"m0": "summary_only", "m1": "full", "m2": "summary_only", "m3": "summary_only", "m4": "full"}
+
+
+def test_newest_page_of_a_link(spark):
+    fetched = spark.createDataFrame(
+        [("a", 200, "<article>old</article>", 1), ("a", 200, "<article>new</article>", 2), ("b", 200, "<p>x</p>", 1), ("b", 500, "", 3)],
+        "link string, status int, html string, fetched_at int",
+    )
+    rows = [json.loads(message(n, link)) for n, link in enumerate("ab")]
+    frame = spark.createDataFrame([tuple(r[f] for f in ITEM_MESSAGE.fieldNames()) for r in rows], ITEM_MESSAGE)
+    got = {r.id: r.full_content for r in enrich_messages(frame, fetched).collect()}
+    assert got == {"m0": "new", "m1": None}
+
+
+def test_alert_on_failure(spark, tmp_path):
+    base = str(tmp_path)
+    log = ArticleLog(spark, f"{base}/store")
+    job = EnrichmentJob(log, pages(spark), f"{base}/cleaned", f"{base}/alerts", alert_on_failure=True)
+    long = "{broken " + "x" * 500
+    job.run_batch(spark.createDataFrame([(None, message(0, "a")), (None, message(1, "b")), (None, long)], KEYED), 0)
+    assert [r.link for r in log.current().collect()] == ["a"]
+    alerts = {json.loads(r.value)["error"] for r in spark.read.schema(KEYED).json(f"{base}/alerts").collect()}
+    assert alerts == {"Failed to fetch: b", f"malformed message: {long}"}
+
+
 def test_seen_links(spark, tmp_path):
     base = str(tmp_path)
     write(spark, base, 0, [message(0, "a"), message(1, "b"), message(2, "a")])
