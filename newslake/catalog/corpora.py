@@ -41,9 +41,18 @@ def vocab_ttr(spark, sf):
     return corpus.vocabulary_size(counts(spark, sf))
 
 
-@query("vocab_ttr_approximate")
+@query(
+    "vocab_ttr_approximate",
+    f"""WITH {WORDS_SQL}
+    SELECT CAST(sum(n) AS BIGINT) AS total_tokens, true AS within_three_errors FROM counts""",
+)
 def vocab_ttr_approximate(spark, sf):
-    return corpus.approximate_vocabulary_size(tokenized(spark, sf))
+    """The estimate in one pass, held against the exact count."""
+    exact = corpus.vocabulary_size(counts(spark, sf)).select("vocab_size").scalar()
+    near = F.abs(F.col("vocab_size") - exact) <= 3 * 0.02 * exact
+    return corpus.approximate_vocabulary_size(tokenized(spark, sf)).select(
+        "total_tokens", near.alias("within_three_errors")
+    )
 
 
 @query(
@@ -248,7 +257,7 @@ def processing_texts(spark, sf):
     full = F.when(F.col("quality") == 1, F.col("text"))
     return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("article_id"),
-        t.preferred_text(full, F.substring("text", 1, 300)).alias("clean_text"),
+        t.preferred_text(full, "text").alias("clean_text"),
     )
 
 
@@ -369,15 +378,16 @@ def masked_accuracy(spark, sf):
 @query(
     "label_decode",
     """WITH best AS (
-      SELECT vec_id, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS id FROM embeddings), tags AS (
-      SELECT DISTINCT label AS id, 'tag' || label AS tag FROM embeddings)
+      SELECT vec_id, list_position(embedding, list_max(embedding)) - 1 AS id FROM embeddings), tags AS (
+      SELECT DISTINCT vec_id % 64 AS id, 'tag' || (vec_id % 64) AS tag FROM embeddings)
     SELECT vec_id, tag FROM best JOIN tags ON best.id = tags.id""",
 )
 def label_decode(spark, sf):
-    """The first ten numbers of a vector as scores of ten labels."""
+    """The numbers of a vector as scores of 64 labels."""
     rows = table(spark, sf, "embeddings")
-    tags = rows.select(F.col("label").alias("id"), F.concat(F.lit("tag"), "label").alias("tag")).distinct()
-    scored = rows.select("vec_id", F.array(F.slice("embedding", 1, 10)).alias("scores"))
+    label = F.col("vec_id") % 64
+    tags = rows.select(label.cast("int").alias("id"), F.concat(F.lit("tag"), label).alias("tag")).distinct()
+    scored = rows.select("vec_id", F.array("embedding").alias("scores"))
     return sequences.decode(scored, tags, ["vec_id"]).select("vec_id", "tag")
 
 

@@ -30,7 +30,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("https://news.example.com/"), "lang", F.lit("/"), F.md5(text)).alias("link"),
             "source",
             F.col("lang").alias("category"),
-            F.substring(text, 1, 300).alias("content"),
+            text.alias("content"),
             F.when(F.col("quality") == 1, text).alias("full_content"),
             F.when(F.col("quality") == 1, F.lit("success"))
             .when(F.col("quality") == 0, F.lit("parse_error"))
@@ -44,7 +44,7 @@ ARTICLES_SQL = """articles AS (
          trim(substr(d.text, 1, 60)) AS title,
          concat('https://news.example.com/', d.lang, '/', md5(d.text)) AS link,
          d.source AS source, d.lang AS category,
-         substr(d.text, 1, 300) AS content,
+         d.text AS content,
          CASE WHEN l.quality = 1 THEN d.text END AS full_content,
          CASE WHEN l.quality = 1 THEN 'success' WHEN l.quality = 0 THEN 'parse_error' END AS full_content_status
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id

@@ -66,13 +66,13 @@ STORED_SQL = """stored AS (
          CASE WHEN l.toxic = 1 THEN 'Update: ' || trim(substr(d.text, 1, 60)) ELSE '' END AS title,
          concat('https://news.example.com/', d.lang, '/', md5(d.text)) AS link,
          '2024-02-01' AS publish_date, CASE WHEN l.quality = 1 THEN d.source END AS source, d.lang AS category,
-         substr(d.text, 1, 200) AS content,
+         d.text AS content,
          CASE WHEN l.quality = 0 AND l.toxic = 0 THEN d.text END AS full_content,
          CASE WHEN l.toxic = 1 THEN 'paywall' WHEN l.quality = 0 THEN 'not_a_status' END AS full_content_status
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id
   UNION ALL
   SELECT 1000000000 + item_id, trim(substr(text, 1, 40)), concat('https://news.example.com/benchmark/', md5(text)),
-         NULL, 'benchmark', 'benchmark', substr(text, 1, 100), text, NULL
+         NULL, 'benchmark', 'benchmark', text, text, NULL
   FROM benchmark
 )"""
 
@@ -104,7 +104,7 @@ def incoming(spark, sf):
         F.lit("2024-02-01").alias("publish_date"),
         F.when(good, F.col("source")).alias("source"),
         F.col("lang").alias("category"),
-        F.substring(text, 1, 200).alias("content"),
+        text.alias("content"),
         F.when((F.col("quality") == 0) & (F.col("toxic") == 0), text).alias("full_content"),
         F.when(toxic, F.lit("paywall")).when(F.col("quality") == 0, F.lit("not_a_status")).alias("full_content_status"),
     )
@@ -115,7 +115,7 @@ def incoming(spark, sf):
         F.lit(None).cast("string").alias("publish_date"),
         F.lit("benchmark").alias("source"),
         F.lit("benchmark").alias("category"),
-        F.substring(text, 1, 100).alias("content"),
+        text.alias("content"),
         text.alias("full_content"),
         F.lit(None).cast("string").alias("full_content_status"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from newslake.catalog.base import query
@@ -186,20 +187,42 @@ def word2vec_neighbours(spark, sf):
     return found.select("query_id", "word", F.round("similarity", 4).alias("similarity"), "rank")
 
 
-@query("batch_embed")
+def letter_counts(batch: list[str]) -> np.ndarray:
+    """An encoder that SQL can repeat: length, and how often some characters occur."""
+    return np.array([[len(t), *(t.count(c) for c in " e.")] for t in batch], dtype="float64")
+
+
+@query(
+    "batch_embed",
+    """SELECT doc_id, CAST(length(text) AS DOUBLE) AS size,
+              CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS blanks,
+              CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS letters_e,
+              CAST(length(text) - length(replace(text, '.', '')) AS DOUBLE) AS stops
+    FROM documents""",
+)
 def batch_embed(spark, sf):
-    """Vectors of all documents from a text encoder, here a hashing one."""
+    """Vectors of all documents from a text encoder, here one that counts."""
     docs = texts(spark, sf, "documents", "doc_id", "text")
-    embedded = vectors.embed(docs, "text", lambda: vectors.HashedTokenEncoder(16))
-    return embedded.select("doc_id", F.round(F.element_at("vector", 1), 6).alias("first"), F.size("vector").alias("dims"))
+    embedded = vectors.embed(docs, "text", lambda: letter_counts)
+    names = ["size", "blanks", "letters_e", "stops"]
+    return embedded.select("doc_id", *[F.element_at("vector", n + 1).alias(c) for n, c in enumerate(names)])
 
 
-@query("sample_rows")
+@query("sample_rows", "SELECT doc_id, source FROM documents ORDER BY md5(doc_id || ':42'), doc_id LIMIT 80")
 def sample_rows(spark, sf):
     return vectors.sample_rows(table(spark, sf, "documents").select("doc_id", "source"), 80, "doc_id")
 
 
-@query("sample_pairs")
+@query(
+    "sample_pairs",
+    f"""WITH {VECTORS_SQL}, x AS (
+      SELECT id, row_number() OVER (ORDER BY md5(id || ':42'), id) AS n FROM vectors), y AS (
+      SELECT id, row_number() OVER (ORDER BY md5(id || ':43'), id) AS n FROM vectors), p AS (
+      SELECT DISTINCT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b FROM x JOIN y USING (n) WHERE x.id <> y.id), s AS (
+      SELECT a, b FROM p ORDER BY md5(a || ':' || b || ':42'), a, b LIMIT 6)
+    SELECT a, b, round(list_cosine_similarity(u.vector, v.vector), 6) AS similarity
+    FROM s JOIN vectors u ON u.id = a JOIN vectors v ON v.id = b""",
+)
 def sample_pairs(spark, sf):
     rows = all_vectors(spark, sf)
     pairs = vectors.sample_pairs(rows, 6, "id")

@@ -8,6 +8,37 @@ from newslake.catalog.fixtures import table
 from newslake.operators import corpus, sequences, vectors
 
 
+class HashedTokenEncoder:
+    """A stand-in for a language model: every token has a fixed pseudo-random vector.
+
+    ``pooling`` is 'mean' over all tokens or 'cls', the first token alone; vectors
+    have length 1.
+    """
+
+    def __init__(self, dims: int = 32, pooling: str = "mean", max_tokens: int | None = None):
+        self.dims, self.pooling, self.max_tokens = dims, pooling, max_tokens
+        self.known: dict[str, np.ndarray] = {}
+
+    def _token(self, token: str) -> np.ndarray:
+        if token not in self.known:
+            from zlib import crc32
+
+            self.known[token] = np.random.default_rng(crc32(token.encode())).standard_normal(self.dims)
+        return self.known[token]
+
+    def _text(self, text: str) -> np.ndarray:
+        tokens = ["[CLS]", *text.lower().split()[: self.max_tokens]]
+        if self.pooling == "cls":
+            # The leading mark sees the text through its first word.
+            pooled = sum(self._token(t) for t in tokens[:2])
+        else:
+            pooled = np.mean([self._token(t) for t in tokens], axis=0)
+        return pooled / max(float(np.linalg.norm(pooled)), 1e-12)
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        return np.array([self._text(t) for t in texts]).reshape(len(texts), self.dims)
+
+
 def load(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     local = rows.orderBy("id").collect()
@@ -64,8 +95,8 @@ def test_document_vectors(spark):
 def test_embedding(spark):
     docs = spark.createDataFrame([(n, f"word{n} common text") for n in range(50)] + [(50, None)], "doc_id long, text string")
     for pooling in ("mean", "cls"):
-        got = vectors.embed(docs, "text", lambda p=pooling: vectors.HashedTokenEncoder(8, p), batch_size=7).collect()
-        encoder = vectors.HashedTokenEncoder(8, pooling)
+        got = vectors.embed(docs, "text", lambda p=pooling: HashedTokenEncoder(8, p), batch_size=7).collect()
+        encoder = HashedTokenEncoder(8, pooling)
         expected = encoder([r.text or "" for r in docs.orderBy("doc_id").collect()])
         assert np.allclose([r.vector for r in sorted(got, key=lambda r: r.doc_id)], expected)
         assert np.allclose(np.linalg.norm(expected, axis=1), 1)
