@@ -14,7 +14,7 @@ from newslake.functions.text import (
     truncate,
 )
 from newslake.operators.compute import compute_once, explode_once
-from newslake.operators.ordering import number_rows
+from newslake.operators.ordering import number_sorted
 
 
 def token_counts(df: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
@@ -66,11 +66,10 @@ def vocabulary_by_tokenizer(df: DataFrame, text: str) -> DataFrame:
 def zipf(counts: DataFrame) -> DataFrame:
     """``(word, n, freq, rank)``: most frequent first, equal counts by word.
 
-    Ranks come from the sizes of the groups with equal count and equal first
-    letters, so no task sorts the whole vocabulary.
+    Ranks come from the sizes of even ranges, so no task sorts the whole vocabulary.
     """
     total = counts.agg(F.sum("n").alias("t")).scalar()
-    ranked = number_rows(counts, [-F.col("n"), F.substring("word", 1, 3)], ["word"], "rank")
+    ranked = number_sorted(counts, [F.desc("n"), F.col("word")], "rank")
     return ranked.select("word", "n", (F.col("n") / total).alias("freq"), "rank")
 
 
@@ -150,7 +149,8 @@ def distinct_in_order(lists: list[DataFrame]) -> DataFrame:
     for part in parts[1:]:
         union = union.unionByName(part)
     first = union.groupBy("word").agg(F.min(F.struct("part", "pos")).alias("p"))
-    return number_rows(first, [F.col("p.part")], [F.col("p.pos"), "word"], "pos").select("pos", "word")
+    placed = first.select("word", "p.part", F.col("p.pos").alias("place"))
+    return number_sorted(placed, [F.col("part"), F.col("place"), F.col("word")], "pos").select("pos", "word")
 
 
 def not_listed(words: DataFrame, listed: DataFrame) -> DataFrame:

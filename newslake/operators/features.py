@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newslake.functions.text import normalize_for_ml
 from newslake.operators.compute import compute_once, explode_once
 from newslake.operators.filters import MIN_FEATURE_LENGTH
-from newslake.operators.ordering import top_per_key
+from newslake.operators.ordering import join_per_key, top_per_key
 
 # Width of the hashed vector and the version written beside it.
 NUM_FEATURES = 4096
@@ -36,7 +36,7 @@ def tf_idf(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> Data
     total = docs.agg(F.count("*").alias("n")).scalar()
     tf = term_frequencies(docs, key, tokens)
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    weighted = tf.join(df, "term").withColumn("idf", _idf(total))
+    weighted = join_per_key(tf, df, "term", "df").withColumn("idf", _idf(total))
     return weighted.select(key, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from newslake.session import cut_lineage
+
 BUCKET = "_bucket"
 
 
@@ -37,6 +39,41 @@ def number_rows(
     )
 
 
+def number_sorted(df: DataFrame, order: Sequence[Column], name: str = "row_no", start: int = 1) -> DataFrame:
+    """Consecutive numbers in an order that has no natural buckets.
+
+    Ranges of the order, of about even size whatever the values are, serve as buckets.
+    They are sampled, so the table is cut off from its lineage: sizes and rows must
+    see the same ones.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    return number_rows(cut_lineage(ranged), [F.col("_range")], order, name, start).drop("_range")
+
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, weight: str, share: int = 1000) -> DataFrame:
+    """Left join of rows with one row per key, in which no key is too much for a task.
+
+    ``per_key`` is made from the rows, so adaptive execution cannot split a hot key of
+    this join.  Keys with over one ``share``-th of the total ``weight`` are fewer than
+    ``share``: their rows of ``per_key`` travel by broadcast, and the rows that found
+    theirs are spread over the shuffle of the others.
+    """
+    total = per_key.agg(F.sum(weight)).scalar()
+    values = F.struct(*[c for c in per_key.columns if c != key])
+    heavy = F.col(weight) * share > total
+    hot = F.broadcast(per_key.filter(heavy).select(key, values.alias("_hot")))
+    found = F.col("_hot").isNotNull()
+    spread = rows.join(hot, key, "left").withColumns({
+        "_key": F.when(~found, F.col(key)),
+        "_salt": F.when(found, F.monotonically_increasing_id() % share).otherwise(F.lit(-1)),
+    })
+    cold = per_key.filter(~heavy).select(
+        F.col(key).alias("_key"), F.lit(-1).cast("long").alias("_salt"), values.alias("_cold")
+    )
+    both = spread.join(cold, ["_key", "_salt"], "left").withColumn("_value", F.coalesce("_hot", "_cold"))
+    return both.select(*rows.columns, *[F.col(f"_value.{c}").alias(c) for c in per_key.columns if c != key])
+
+
 def running_totals(
     df: DataFrame, coarse: Column, order: Column | str, sums: dict[str, str], keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -7,26 +7,32 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newslake.functions.vectors import argmax
-from newslake.operators.compute import explode_once
-from newslake.operators.ordering import number_rows
+from newslake.operators.compute import compute_once, explode_once
+from newslake.operators.ordering import number_rows, number_sorted
 
 PAD, UNKNOWN = "<PAD>", "UNK"
 
 
 def build_vocabulary(counts: DataFrame) -> DataFrame:
     """``(word, id)``: id 0 is padding, 1 the unknown word, then words by frequency."""
-    ranked = number_rows(counts, [-F.col("n"), F.substring("word", 1, 3)], ["word"], "id", start=2)
+    ranked = number_sorted(counts, [F.desc("n"), F.col("word")], "id", start=2)
     special = counts.sparkSession.createDataFrame([(PAD, 0), (UNKNOWN, 1)], "word string, id long")
     return special.unionByName(ranked.select("word", F.col("id").cast("long").alias("id")))
 
 
 def encode(docs: DataFrame, vocabulary: DataFrame, keys: list[str], tokens: str = "tokens", unknown: int = 1) -> DataFrame:
-    """Token ids of each row in order; words without an id get the unknown one."""
-    words = explode_once(docs, keys, tokens, "word", "pos")
-    found = words.join(vocabulary.select("word", "id"), "word", "left")
-    number = F.coalesce("id", F.lit(unknown)).alias("id")
-    pairs = found.select(*keys, F.struct("pos", number).alias("p"))
-    ordered = pairs.groupBy(*keys).agg(F.sort_array(F.collect_list("p")).alias("ps"))
+    """Token ids of each row in order; words without an id get the unknown one.
+
+    The places of a word in a row are gathered first, so a word is looked up once per row.
+    """
+    made = compute_once(docs, _words=F.col(tokens))
+    placed = F.transform("_words", lambda w, n: F.struct(w.alias("word"), n.alias("pos")))
+    words = explode_once(made, keys, placed, "p").select(*keys, "p.*")
+    places = words.groupBy(*keys, "word").agg(F.collect_list("pos").alias("at"))
+    found = places.join(vocabulary.select("word", "id"), "word", "left")
+    number = F.coalesce("id", F.lit(unknown))
+    pairs = found.select(*keys, F.transform("at", lambda n: F.struct(n.alias("pos"), number.alias("id"))).alias("p"))
+    ordered = pairs.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("p"))).alias("ps"))
     ids = ordered.select(*keys, F.transform("ps", lambda p: p["id"]).alias("ids"))
     empty = F.array().cast("array<bigint>")
     return docs.select(*keys).join(ids, keys, "left").select(*keys, F.coalesce("ids", empty).alias("ids"))

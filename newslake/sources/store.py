@@ -59,13 +59,10 @@ def split_slice(df: DataFrame, id_col: str, n: int | None = None, percent: float
     """The first ``n`` rows by id, or the first ``percent`` of them, rounded to the nearest row."""
     if n is not None:
         return df.orderBy(id_col).limit(n)
-    # Ranges of the id are buckets of about even size, so no task numbers the whole table.
-    from newslake.operators.ordering import number_rows
+    from newslake.operators.ordering import number_sorted
 
-    ranged = df.repartitionByRange(id_col).withColumn("_range", F.spark_partition_id())
-    numbered = number_rows(ranged, [F.col("_range")], [id_col], "_row")
     wanted = F.round(F.lit(percent / 100.0) * df.count())
-    return numbered.filter(F.col("_row") <= wanted).select(*df.columns)
+    return number_sorted(df, [F.col(id_col)], "_row").filter(F.col("_row") <= wanted).select(*df.columns)
 
 
 class ArticleLog:

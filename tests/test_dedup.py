@@ -5,6 +5,7 @@ from difflib import SequenceMatcher
 from hashlib import md5
 
 import pytest
+from pyspark.sql import functions as F
 
 from newslake.catalog import QUERIES
 from newslake.catalog.fixtures import arrivals
@@ -175,3 +176,22 @@ def test_title_similarity_query(spark, sf):
         last[r.category] = title
     got = {r.id: r.similarity for r in QUERIES["title_similarity_neighbours"](spark, sf).collect()}
     assert got == expected
+
+
+def test_a_hot_key_is_spread_over_the_join(spark):
+    """Half of the rows have one key; no partition of the join may hold more than a share of them."""
+    from newslake.operators.ordering import join_per_key
+
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = join_per_key(rows, per_key, "k", "n").withColumn("at", F.spark_partition_id()).cache()
+        assert joined.count() == 40_000
+        assert joined.filter("n != CASE WHEN k = 0 THEN 20000 ELSE 1 END OR n IS NULL").isEmpty()
+        assert joined.groupBy("at").count().agg(F.max("count")).first()[0] < 6_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        joined.unpersist()
