@@ -137,5 +137,29 @@ def test_unknown_categories(spark):
 def test_parse_reads_the_xml_once(bodies):
     items = feeds.feed_items(bodies, skip_bozo=True)
     plan = items._jdf.queryExecution().optimizedPlan().toString()
-    # One parse for RSS and one for Atom, whatever is filtered afterwards.
-    assert plan.count("from_xml(") == 2
+    # One parse for each kind and one for what is left of a malformed feed, whatever is filtered afterwards.
+    assert plan.count("from_xml(") == 6
+
+
+def test_namespaces_rdf_cut_feeds_and_xhtml(spark):
+    media = """<rss xmlns:media="m" xmlns:atom="a" xmlns:dc="d" xmlns:content="c"><channel><title>T</title><atom:link href="self"/>
+    <item><title>A</title><media:title>MB</media:title><link>http://x/1</link><atom:link href="no"/><media:description>md</media:description>
+    <description>text</description><content:encoded>full</content:encoded><dc:date>2024-01-02</dc:date></item></channel></rss>"""
+    rdf = """<?xml version="1.0"?><rdf:RDF xmlns:rdf="r" xmlns="http://purl.org/rss/1.0/"><channel><title>R</title></channel>
+    <item><title>one</title><link>http://r/1</link></item><item><title>two</title><link>http://r/2</link></item></rdf:RDF>"""
+    item = "<item><title>i{0}</title><link>http://c/{0}</link></item>"
+    cut = "<rss><channel><title>C</title>" + "".join(item.format(n) for n in (1, 2)) + "<item><title>i3</ti"
+    xhtml = """<feed xmlns="http://www.w3.org/2005/Atom"><title>X</title><entry><title>e</title><link href="http://e/1"/>
+    <content type="xhtml"><div xmlns="h"><p>Hello <b>you</b></p></div></content></entry></feed>"""
+    atom_cut = xhtml.replace("</feed>", "<entry><title>open")
+    names = {"media": media, "rdf": rdf, "cut": cut, "xhtml": xhtml, "atom_cut": atom_cut, "nothing": "<rss><chan"}
+    frame = spark.createDataFrame([(k, "c", v) for k, v in names.items()], "feed_url string, category string, body string")
+    got = {r.feed_url: r for r in feeds.parse_feeds(frame).collect()}
+    assert {k for k, r in got.items() if r.bozo} == {"cut", "atom_cut", "nothing"}
+    only = got["media"].entries[0]
+    assert (only.title, only.link, only.description, only.published) == ("A", "http://x/1", "text", "2024-01-02")
+    assert [c.value for c in only.content] == ["full"]
+    assert got["rdf"].feed_title == "R" and [e.title for e in got["rdf"].entries] == ["one", "two"]
+    assert got["cut"].feed_title == "C" and [e.title for e in got["cut"].entries] == ["i1", "i2"]
+    assert "Hello <b>you</b>" in got["xhtml"].entries[0].content[0].value
+    assert [e.title for e in got["atom_cut"].entries] == ["e"] and got["nothing"].entries == []
