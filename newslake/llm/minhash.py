@@ -12,11 +12,12 @@ probability ``(1 - (1 - 0.75 ** 3) ** 16) ** 2`` = 0.9997 (0.8: 0.99998).
    are combined to keys.
 3. In every bucket the smallest member is paired with each other one: as many pairs as
    members.  Pairs whose set sizes allow the similarity are confirmed on full sets.
-4. In buckets whose members are then still in several components, members of different
-   components are compared by one byte of each minhash, within a task and without a row
-   per pair.  Pairs that agree in ``LEAST`` of 96 bytes are confirmed on full sets.  A
-   pair at 0.75 agrees in fewer with probability 0.00006; dissimilar documents that
-   share a passage seldom reach it.  Large buckets are compared block by block.
+4. Members of buckets that are then still in several components are brought together by
+   the short hash from the first collection that they share, so each document travels
+   ``SIDE`` times at most.  Within a task all of them are compared on full sets, and one
+   link per document and component goes on.  No link that a bucket shows is lost, and
+   groups of near copies are not expanded into all their pairs.  Large groups are
+   compared block by block.
 """
 
 from __future__ import annotations
@@ -30,16 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from newslake.llm.common import map_batches, pick, remove, rows_of_ids, write
+from newslake.llm.common import map_batches, pick, rows_of_ids, write
 from newslake.llm.components import connected
 
 WORDS = 5
 PERCENT = 75
 ROWS, SIDE = 3, 16
-#: Bytes of the 96 minhashes in which a pair must agree to be confirmed in step 4.
-LEAST = 56
-#: Members of a bucket that are compared at a time.
-BLOCK_ROWS = 1024
+#: Members of a group that are compared at a time.
+BLOCK_ROWS = 512
 #: Documents that are hashed at a time.
 DOCS_AT_ONCE = 256
 #: Word hashes that a Python worker remembers at most.
@@ -86,20 +85,17 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def short_hashes(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of non-empty sets: ``2 * SIDE`` combined minhashes, and one byte of each minhash."""
+def short_hashes(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of ``2 * SIDE`` combined minhashes per non-empty set."""
     values = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
     combined = np.empty((len(sets), 2 * SIDE), np.uint64)
-    sketch = np.empty((len(sets), 2 * SIDE * ROWS), np.uint8)
     for place in range(2 * SIDE):
         total = np.full(len(sets), place, np.uint64)
         for n in range(place * ROWS, (place + 1) * ROWS):
-            least = mixed(np.minimum.reduceat((values ^ _MASKS[n]) * _ODD[n], starts))
-            sketch[:, n] = (least >> np.uint64(40)).astype(np.uint8)
-            total = mixed(total + least)
+            total = mixed(total + np.minimum.reduceat((values ^ _MASKS[n]) * _ODD[n], starts))
         combined[:, place] = total
-    return combined, sketch
+    return combined
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -115,19 +111,16 @@ def _lists(values: list[np.ndarray] | np.ndarray) -> pa.ListArray:
 
 
 def _signatures(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    names = ["id", "n", "shape", "short"]
     for ids, sets in _parts(batch):
         rows = [i for i, s in enumerate(sets) if len(s)]
         short: list[np.ndarray] = [np.empty(0, np.uint64)] * len(sets)
-        sketches = marks = [b""] * len(sets)
         if rows:
-            combined, bytes_of = short_hashes([sets[i] for i in rows])
-            sketches, marks = list(sketches), list(marks)
-            for i, row, sketch in zip(rows, combined, bytes_of, strict=True):
-                short[i], sketches[i], marks[i] = row, sketch.tobytes(), row.astype(np.uint32).tobytes()
+            for i, row in zip(rows, short_hashes([sets[i] for i in rows]), strict=True):
+                short[i] = row
         sizes = pa.array([len(s) for s in sets], pa.int64())
-        shapes = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-        binary = [pa.array(c, pa.binary()) for c in (shapes, sketches, marks)]
-        yield pa.RecordBatch.from_arrays([ids, sizes, *binary, _lists(short)], ["id", "n", "shape", "sketch", "marks", "short"])
+        shapes = pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([ids, sizes, shapes, _lists(short)], names)
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -146,13 +139,14 @@ def _shared_hashes(classes: DataFrame) -> DataFrame:
 
 
 def _table_rows(own: DataFrame) -> DataFrame:
-    """``key, place, id, n``: one row per table in which a class may meet another one."""
-    first = F.filter("own", lambda x: x["place"] < SIDE)
-    second = F.filter("own", lambda x: x["place"] >= SIDE)
-    one = lambda x, y: F.struct(
-        F.xxhash64(x, y).alias("key"), (x["place"] * SIDE + y["place"] - SIDE).cast("short").alias("place")
-    )
-    tables = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: one(x, y))))
+    """``key, first, id, n``: one row per table in which a class may meet another one.
+
+    ``first`` is the part of the key that comes from the first collection.
+    """
+    left = F.filter("own", lambda x: x["place"] < SIDE)
+    right = F.filter("own", lambda x: x["place"] >= SIDE)
+    one = lambda x, y: F.struct(F.xxhash64(x, y).alias("key"), F.xxhash64(x).alias("first"))
+    tables = F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: one(x, y))))
     return own.select(F.inline(tables), "id", "n")
 
 
@@ -160,21 +154,14 @@ def _may_link(n: str, m: str):
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    spark = docs.sparkSession
-    named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    texts = docs.join(named, "id", "left_semi")
-    path = write(map_batches(texts, _sets, f"id {dict(docs.dtypes)['id']}, items array<long>"), "sets")
-    sets = spark.read.parquet(path)
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("of_b")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("items").alias("of_a")), "a"
     )
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
-    links = write(both.filter(common * 100 >= union * PERCENT).select("a", "b"), "confirmed")
-    remove(spark, path)
-    return spark.read.parquet(links)
+    return both.filter(common * 100 >= union * PERCENT).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,33 +179,32 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = df.sparkSession
     docs = pick(df, id=id_col, text=text_col)
-    schema = f"id {dict(docs.dtypes)['id']}, n long, shape binary, sketch binary, marks binary, short array<long>"
+    schema = f"id {dict(docs.dtypes)['id']}, n long, shape binary, short array<long>"
     signed = write(map_batches(docs, _signatures, schema), "signatures")
     rows = spark.read.parquet(signed)
     classes = (
         rows.filter("n > 0 AND id IS NOT NULL")
         .groupBy("shape")
-        .agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "sketch", "marks", "short")])
-    )
-    buckets = write(_table_rows(_shared_hashes(classes)), "buckets")
-    members = spark.read.parquet(buckets)
-    heads = write(
-        members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.count("*").alias("c")).filter("c > 1"),
-        "heads",
+        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("short").alias("short"))
     )
+    members = spark.read.parquet(write(_table_rows(_shared_hashes(classes)), "buckets"))
+    heads = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.count("*").alias("c"))
+    heads = spark.read.parquet(write(heads.filter("c > 1").select("key", "head"), "heads"))
+    met = members.join(heads, "key")
+    # The texts are shuffled at every size alike: what is looked up grows with them.
+    named = met.select("id").distinct().hint("merge")
+    texts = docs.join(named, "id", "left_semi")
+    sets = write(map_batches(texts, _sets, f"id {dict(docs.dtypes)['id']}, items array<long>"), "sets")
+    sets = spark.read.parquet(sets)
     stars = (
-        members.join(spark.read.parquet(heads).select("key", "head"), "key")
-        .filter(F.col("id") != F.col("head.id"))
+        met.filter(F.col("id") != F.col("head.id"))
         .filter(_may_link("n", "head.n"))
         .select(F.col("head.id").alias("a"), F.col("id").alias("b"))
         .distinct()
     )
-    tried = write(stars, "stars")
-    links = _confirmed(spark.read.parquet(tried), docs)
+    links = spark.read.parquet(write(_confirmed(stars, sets), "confirmed"))
     joined = connected(links)
-
-    across = write(_across_components(members, joined, classes, spark.read.parquet(tried)), "across")
-    more = _confirmed(spark.read.parquet(across), docs)
+    more = spark.read.parquet(write(_across_components(members, joined, sets), "across"))
     roots = connected(joined.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more))
 
     named = classes.select("shape", "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
@@ -241,65 +227,71 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return rows_of_ids(docs, id_col, kept.distinct())
 
 
-def _across_components(members: DataFrame, joined: DataFrame, classes: DataFrame, tried: DataFrame) -> DataFrame:
-    """Untried pairs, from different components, that a bucket's sketches hold for similar."""
+def _across_components(members: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between components that meet in a bucket."""
     spark = members.sparkSession
     labelled = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "place", "id", "n", F.coalesce("root", "id").alias("root")
+        "key", "first", "id", F.coalesce("root", "id").alias("root")
     )
     rows = spark.read.parquet(write(labelled, "labelled"))
-    several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c"))
-    blocks = F.ceil(F.col("c") / BLOCK_ROWS).cast("int").alias("blocks")
-    several = spark.read.parquet(write(several.filter("x != y").select("key", blocks), "several"))
+    several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
+    several = spark.read.parquet(write(several.select("key"), "several"))
+    open_rows = rows.join(several, "key", "left_semi").select("first", "id", "root").distinct()
+    open_rows = spark.read.parquet(write(open_rows, "open"))
+    sizes = open_rows.groupBy("first").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    sizes = spark.read.parquet(write(sizes, "sizes"))
     facing = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     block = F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")
-    dealt = rows.join(several, "key").select("key", "place", "id", "n", "root", block, facing.alias("other"))
+    dealt = open_rows.join(sizes, "first").select("first", "id", "root", block, facing.alias("other"))
     groups = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
-    groups = groups.join(classes.select("id", "sketch", "marks"), "id")
+    groups = groups.join(sets, "id").repartition("first", "i", "j").sortWithinPartitions("first", "i", "j")
     kind = dict(members.dtypes)["id"]
-    sorted_groups = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = sorted_groups.mapInArrow(_similar_sketches, f"a {kind}, b {kind}")
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    return groups.mapInArrow(_compare, f"a {kind}, b {kind}").distinct()
 
 
-def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; groups may go over the ends of batches."""
-    names = ["key", "i", "j", "place", "id", "n", "root", "block", "sketch", "marks"]
-    key, rows = None, []
+    key, rows, kind = None, [], None
     for batch in batches:
-        for *group, place, doc, n, root, block, sketch, marks in zip(
-            *[batch.column(c).to_pylist() for c in names], strict=True
-        ):
+        kind = batch.schema.field("id").type
+        items = batch.column("items")
+        values, offsets = items.values.to_numpy(zero_copy_only=False), items.offsets.to_numpy()
+        columns = [batch.column(c).to_pylist() for c in ("first", "i", "j", "id", "root", "block")]
+        for n, (*group, doc, root, block) in enumerate(zip(*columns, strict=True)):
             if group != key:
-                yield from _open_pairs(key, rows, batch.schema.field("id").type)
+                yield from _links(key, rows, kind)
                 key, rows = group, []
-            rows.append((doc, place, n, root, block, sketch, marks))
-    if rows:
-        yield from _open_pairs(key, rows, batch.schema.field("id").type)
+            rows.append((doc, root, block, values[offsets[n] : offsets[n + 1]].copy()))
+    yield from _links(key, rows, kind)
 
 
-def _open_pairs(key: list | None, rows: list[tuple], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """Pairs of one group; a pair that meets in several tables is given in the first one."""
+def _links(key: list | None, rows: list[tuple], kind: pa.DataType | None) -> Iterator[pa.RecordBatch]:
+    """One link from each document of one group to each other component it is linked with."""
     if len(rows) < 2:
         return
-    ids, places, sizes, roots, block, sketches, marks = zip(*rows, strict=True)
-    sizes, block = np.array(sizes), np.array(block)
-    roots = np.unique(np.array(roots, dtype=object).astype(str), return_inverse=True)[1]
-    sketches = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(rows), -1)
-    marks = np.frombuffer(b"".join(marks), np.uint32).reshape(len(rows), 2, SIDE)
+    ids, named, block, items = zip(*rows, strict=True)
+    places: dict = {}
+    roots = np.array([places.setdefault(r, len(places)) for r in named])
+    block, sizes = np.array(block), np.fromiter(map(len, items), np.int64, len(items))
+    _, place = np.unique(np.concatenate(items), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(place, kind="stable")
+    holders, first = owner[order], np.searchsorted(place[order], np.arange(place.max() + 2))
+    ends = np.cumsum(sizes)
     largest = np.bincount(roots).argmax()
     a, b = [], []
     for r in np.flatnonzero(roots != largest):
-        others = (roots != roots[r]) & ((roots == largest) | (np.arange(len(rows)) > r))
-        others &= 100 * np.minimum(sizes, sizes[r]) >= PERCENT * np.maximum(sizes, sizes[r])
+        mine = place[ends[r] - sizes[r] : ends[r]]
+        counts = first[mine + 1] - first[mine]
+        upto = np.cumsum(counts)
+        at = np.arange(upto[-1]) + np.repeat(first[mine] - upto + counts, counts)
+        common = np.bincount(holders[at], minlength=len(rows))
+        linked = (100 * common >= PERCENT * (sizes + sizes[r] - common)) & (roots != roots[r])
         if key[1] != key[2]:
-            others &= block != block[r]
-        others = np.flatnonzero(others)
-        others = others[(sketches[others] == sketches[r]).sum(axis=1) >= LEAST]
-        first = (marks[others] == marks[r]).argmax(axis=2)
-        others = others[first[:, 0] * SIDE + first[:, 1] == places[r]]
-        a += [ids[r]] * len(others)
-        b += [ids[o] for o in others]
+            linked &= block != block[r]
+        linked = np.flatnonzero(linked)
+        for other in linked[np.unique(roots[linked], return_index=True)[1]]:
+            a.append(ids[r])
+            b.append(ids[other])
     if a:
         yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
