@@ -55,7 +55,8 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     rolling = np.zeros(len(points), np.uint64)
     for n in range(1, max(GRAMS) + 1):
         shifted = np.zeros(len(points), np.uint64)
-        shifted[: len(points) - n + 1] = points[n - 1 :]
+        rest = points[n - 1 :]
+        shifted[: len(rest)] = rest
         rolling = rolling * _BASE + shifted + np.uint64(n)
         if n in GRAMS:
             inside = left >= n
