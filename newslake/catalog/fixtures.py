@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslake.functions.text import first_sentence
 from newslake.sources.store import spread
 
 
@@ -54,12 +55,20 @@ ARTICLES_SQL = """articles AS (
 CATEGORY_ORDER = ["en", "fr", "de", "es"]
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles with their arrival number: category by category, then by id."""
+def arrivals_as_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with their arrival number: category by category, then by id.
+
+    Titles are cut as in ``ARRIVALS_SQL``.
+    """
     place = F.array_position(F.array(*[F.lit(c) for c in CATEGORY_ORDER]), F.col("category"))
     return articles(spark, sf_dir).withColumn("seq", F.shiftleft(place, 40) + F.col("id"))
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same articles under their whole first sentence or line."""
+    return arrivals_as_in_sql(spark, sf_dir).withColumn("title", first_sentence("content"))
+
+
 ARRIVALS_SQL = (
     ARTICLES_SQL
     + """, arrivals AS (

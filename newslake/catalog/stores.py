@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newslake.catalog import sqltext as q
 from newslake.catalog.base import query
-from newslake.catalog.fixtures import ARRIVALS_SQL, ARTICLES_SQL, arrivals, articles, table
+from newslake.catalog.fixtures import ARRIVALS_SQL, ARTICLES_SQL, arrivals, arrivals_as_in_sql, articles, table
 from newslake.operators import dedup, merge, stats
 from newslake.plans import collect, migrate
 from newslake.sources import store
@@ -18,7 +18,7 @@ from newslake.sources import store
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY link ORDER BY seq) AS n FROM arrivals) WHERE n = 1""",
 )
 def dedup_url(spark, sf):
-    return dedup.first_by_link(arrivals(spark, sf)).select("id")
+    return dedup.first_by_link(arrivals_as_in_sql(spark, sf)).select("id")
 
 
 HASHED_SQL = f"hashed AS (SELECT *, {q.content_hash('title', 'content')} AS h FROM arrivals)"
@@ -30,7 +30,7 @@ HASHED_SQL = f"hashed AS (SELECT *, {q.content_hash('title', 'content')} AS h FR
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY h ORDER BY seq) AS n FROM hashed) WHERE n = 1""",
 )
 def dedup_hash(spark, sf):
-    return dedup.first_by_hash(arrivals(spark, sf)).select("id")
+    return dedup.first_by_hash(arrivals_as_in_sql(spark, sf)).select("id")
 
 
 @query(
@@ -40,7 +40,7 @@ def dedup_hash(spark, sf):
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY h ORDER BY seq) AS m FROM u) WHERE m = 1""",
 )
 def dedup_url_hash(spark, sf):
-    return dedup.deduplicate_by_link_and_hash(arrivals(spark, sf)).select("id")
+    return dedup.deduplicate_by_link_and_hash(arrivals_as_in_sql(spark, sf)).select("id")
 
 
 @query("dedup_articles")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newslake.catalog import sqltext as q
 from newslake.catalog.base import query
-from newslake.catalog.fixtures import ARTICLES_SQL, articles, table, texts
+from newslake.catalog.fixtures import ARTICLES_SQL, arrivals, articles, table, texts
 from newslake.functions import text as t
 from newslake.operators import filters
 from newslake.operators.compute import compute_once, explode_once
@@ -216,7 +216,7 @@ def title_similarity_neighbours(spark, sf):
     from newslake.functions.similarity import title_key, title_ratio
     from newslake.operators.ordering import with_previous
 
-    keyed = articles(spark, sf).select("id", "category", title_key("title").alias("title"))
+    keyed = arrivals(spark, sf).select("id", "category", title_key("title").alias("title"))
     linked = with_previous(keyed, F.floor(F.col("id") / 10000), "id", {"before": "title"}, ["category"])
     return linked.filter(F.col("before").isNotNull()).select(
         "id", F.round(title_ratio("title", "before"), 6).alias("similarity")

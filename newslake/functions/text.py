@@ -136,6 +136,11 @@ def sentences(c: Column | str) -> Column:
     return F.filter(pieces, lambda s: F.length(s) > 0)
 
 
+def first_sentence(c: Column | str) -> Column:
+    """The first sentence or line, whichever ends first, whole and without blanks at the ends."""
+    return F.split(strip(c), rf"(?<=[.!?])[{BLANK}]+|[{BLANK}]*[\r\n][{BLANK}]*", 2)[0]
+
+
 def content_hash(title: Column | str, content: Column | str) -> Column:
     """md5 over the title and the first 200 characters of the content, stripped and lower-cased."""
     title = F.coalesce(_col(title), F.lit(""))
