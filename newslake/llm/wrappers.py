@@ -217,11 +217,13 @@ def _container(path: str) -> str:
     return path.rpartition("/")[0]
 
 
-def reading(wrapper: list[dict]) -> dict:
+def reading(wrapper: list[dict], differ: bool = True) -> dict:
     """How a host's pages are read, from the items of its wrapper.
 
     ``article`` are the paths of the items inside marked articles, ``container`` the
     element whose slots hold most text, ``template`` the texts that all pages share.
+    Where no two pages ``differ``, nothing is known to be template and no container
+    stands out.
     """
     volumes: dict[str, int] = {}
     template, article = set(), set()
@@ -230,6 +232,8 @@ def reading(wrapper: list[dict]) -> dict:
             continue
         if _main(item["p"]):
             article.add(item["p"])
+        if not differ:
+            continue
         if item["t"] is None or item["?"]:
             volumes[_container(item["p"])] = volumes.get(_container(item["p"]), 0) + item["n"]
         else:
@@ -256,18 +260,37 @@ def main_text(page: list[tuple[str, str]], rules: dict) -> str:
     return "\n\n".join(inside or [t for _, t in slots])
 
 
+#: Stands for the texts of pages that are not all alike.
+_SEVERAL = "*"
+
+
+def _text_of(page: list[tuple[str, str]]) -> str | None:
+    """A digest of what a page holds besides asides; None for a page without any."""
+    own = [block for block in page if not _aside(block[0])]
+    return _digest(json.dumps(own)) if own else None
+
+
+def _all_of(texts: list[str | None]) -> str | None:
+    """The one digest among those given, or that there are several."""
+    known = {t for t in texts if t is not None}
+    return _SEVERAL if len(known) > 1 else next(iter(known), None)
+
+
 def _fold_pages(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     found: dict[str, list[dict]] = {}
     seen: dict[str, int] = {}
+    texts: dict[str, str | None] = {}
     for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-        page = stream(blocks(html))
+        read = blocks(html)
+        page = stream(read)
         if page:
             found[host] = align(found[host], page) if host in found else page
             seen[host] = seen.get(host, 0) + 1
-    columns = [list(found), [seen[h] for h in found], [json.dumps(w) for w in found.values()]]
+            texts[host] = _all_of([texts.get(host), _text_of(read)])
+    columns = [list(found), [seen[h] for h in found], [texts[h] for h in found], [json.dumps(w) for w in found.values()]]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)],
-        ["host", "pages", "wrapper"],
+        [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)],
+        ["host", "pages", "texts", "wrapper"],
     )
 
 
@@ -277,17 +300,22 @@ def _fold_wrappers(group: pd.DataFrame) -> pd.DataFrame:
     for wrapper in wrappers[1:]:
         merged = align(merged, json.loads(wrapper))
     return pd.DataFrame(
-        {"host": [group["host"].iloc[0]], "pages": [int(group["pages"].sum())], "wrapper": [json.dumps(merged)]}
+        {
+            "host": [group["host"].iloc[0]],
+            "pages": [int(group["pages"].sum())],
+            "texts": [_all_of(group["texts"].dropna().tolist())],
+            "wrapper": [json.dumps(merged)],
+        }
     )
 
 
-_WRAPPERS = "host string, pages long, wrapper string"
+_WRAPPERS = "host string, pages long, texts string, wrapper string"
 
 
 def infer(df: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, pages, wrapper``: one wrapper (JSON) per host, from all of its pages.
+    """``host, pages, texts, wrapper``: one wrapper (JSON) per host, from all of its pages.
 
-    Hosts are compared in lower case; pages without a url share the host "".
+    ``texts`` is "*" where pages differ outside of asides.  Hosts are compared in lower case; pages without a url share the host "".
     """
     pages = _pages(pick(df, url=url_col, html=html_col))
     partial = map_batches(pages.select("host", "html"), _fold_pages, _WRAPPERS)
@@ -302,12 +330,13 @@ def _pages(rows: DataFrame) -> DataFrame:
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    known: dict[str | None, dict] = {None: {"article": [], "container": None, "template": []}}
+    known: dict[tuple, dict] = {}
     texts = []
-    for html, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
-        if wrapper not in known:
-            known[wrapper] = reading(json.loads(wrapper))
-        texts.append(main_text(blocks(html), known[wrapper]))
+    columns = [batch.column(c).to_pylist() for c in ("html", "wrapper", "differ")]
+    for html, wrapper, differ in zip(*columns, strict=True):
+        if (wrapper, differ) not in known:
+            known[wrapper, differ] = reading(json.loads(wrapper or "[]"), bool(differ))
+        texts.append(main_text(blocks(html), known[wrapper, differ]))
     yield pa.RecordBatch.from_arrays(
         [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], ["id", "url", "text"]
     )
@@ -318,12 +347,16 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
     A null or empty page, or one without an article, gives an empty text; null ids and
     urls stay null; repeated rows are read one by one and, like ties, do not change a
-    wrapper's rules; an empty table gives an empty one.  Other columns are left out,
+    wrapper's rules; an empty table gives an empty one.  Where a host has a single page,
+    or copies of one, nothing shows what is template: without a marked article all
+    that is not aside counts.  Other columns are left out,
     whatever their names.
     """
     wrappers = written(infer(df, url_col, html_col), "hosts")
     pages = _pages(pick(df, id=id_col, url=url_col, html=html_col))
-    joined = pages.join(wrappers.select("host", "wrapper"), "host", "left").select("id", "url", "html", "wrapper")
+    differ = F.col("texts").eqNullSafe(_SEVERAL).alias("differ")
+    rules = wrappers.select("host", "wrapper", differ)
+    joined = pages.join(rules, "host", "left").select("id", "url", "html", "wrapper", "differ")
     kinds = dict(joined.dtypes)
     texts = map_batches(joined, _read, f"id {kinds['id']}, url {kinds['url']}, text string")
     return texts.select(

@@ -57,3 +57,19 @@ def test_given_pages_against_the_article_element(spark, sf):
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", p)).split()) for p in re.split(r"</?p>|</?h1>", inner)]
         page = wrappers.blocks(row.html)
         assert wrappers.main_text(page, wrappers.reading(wrappers.stream(page))) == "\n\n".join(p for p in parts if p)
+
+
+def test_hosts_with_one_page_or_copies_of_one_keep_single_blocks(spark):
+    table = [(0, "http://one.example/0", PLAIN.format(0, ""))]
+    table += [(1 + i, f"http://copies.example/{i}", PLAIN.format(7, "")) for i in range(6)]
+    table += [(10 + i, f"http://asides.example/{i}", f"<nav>{i}</nav>" + PLAIN.format(7, "")) for i in range(3)]
+    table += [(20 + i, f"http://many.example/{i}", PLAIN.format(i, "")) for i in range(3)]
+    df = spark.createDataFrame(table, "page_id long, url string, html string").repartition(4)
+    found = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+    for i, n in [(0, 0), (1, 7), (6, 7), (10, 7), (12, 7)]:
+        story = [f"Head {n}", f"Text {n} of it", f"Text {n} again", f"Sub {n}", f"Rest {n}"]
+        assert found[i] == "\n\n".join(["Site name", *story, "Imprint"])
+    assert found[21] == "Head 1\n\nText 1 of it\n\nText 1 again\n\nSub 1\n\nRest 1"
+    single = "<body><h1>Headline</h1><div class=x><p>First</p><p>Second</p></div></body>"
+    alone = spark.createDataFrame([(1, "http://a.example", single)], df.schema)
+    assert wrappers.extract(alone).first().text == "Headline\n\nFirst\n\nSecond"
