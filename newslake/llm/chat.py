@@ -16,9 +16,14 @@ def _number(turns: DataFrame) -> DataFrame:
     """Add ``place`` from 1 and ``n``, the length of the conversation.
 
     Windows run over parts of a conversation; only the sizes of the parts are summed up
-    per conversation, so a conversation may hold any share of all rows.
+    per conversation, so a conversation may hold any share of all rows.  Parts lie in
+    even ranges of the whole order, so turns without a number, or with the same one, are
+    split by role and text.  The ranges are sampled and therefore written.
     """
-    parts = turns.withColumn("part", F.floor(F.coalesce(F.col("turn").cast("double"), F.lit(-1.0)) / PART_TURNS))
+    order = ["key", "turn", "role", "text"]
+    ranged = written(turns.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    dense = F.floor(F.col("turn").cast("double") / PART_TURNS)
+    parts = ranged.withColumn("part", F.struct("range", dense.alias("dense"))).drop("range")
     sizes = parts.groupBy("key", "part").agg(F.count("*").alias("size"))
     whole = W.partitionBy("key")
     before = whole.orderBy("part").rowsBetween(W.unboundedPreceding, -1)

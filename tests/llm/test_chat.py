@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from newslake.llm import chat
 from tests.llm import cases
 
@@ -59,6 +61,22 @@ def test_long_conversations_are_rendered_in_parts(spark, monkeypatch):
     assert chat.render(df).filter("conv_id = 1").count() == 8
 
 
+def test_turns_without_a_number_or_with_the_same_one_are_spread(spark):
+    table = [(1, None, "user", f"line {k}") for k in range(4000)] + [(2, 5, "user", f"line {k}") for k in range(4000)]
+    table += [(3, k, "user", f"line {k}") for k in range(40)] + [(3, None, "user", "first"), (3, -5000, "user", "second")]
+    df = spark.createDataFrame(table, SCHEMA).repartition(5)
+    assert found(chat.render(df)) == brute(table)
+    keyed = df.select(F.struct(F.col("conv_id").alias("id")).alias("key"), "turn", "role", "text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        at = chat._number(keyed).groupBy(F.spark_partition_id().alias("at")).agg(F.count("*").alias("n"))
+        assert at.agg(F.max("n")).first()[0] < 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_native_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], SCHEMA)
     plan = chat.render(df)._jdf.queryExecution().toString()
