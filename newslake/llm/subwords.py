@@ -251,6 +251,10 @@ class Scorer:
             values = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
             starts = passages_of(len(words), self.passage)
             highest = float((np.add.reduceat(values, starts) / np.diff(np.append(starts, len(words)))).max())
+            # Passages that lie over the borders, from cumulative sums.
+            if self.passage and len(over := np.arange(self.passage // 2, len(words) - self.passage + 1, self.passage)):
+                upto = np.append(0.0, np.cumsum(values))
+                highest = max(highest, float((upto[over + self.passage] - upto[over]).max() / self.passage))
         return 1 / (1 + float(np.exp(-np.clip(highest + self.model.bias, -500, 500))))
 
 

@@ -2,7 +2,8 @@
 
 Words are bags of hashed character n-grams, so a misspelling or a new word on a known
 stem is near the words it resembles.  The words of a passage are averaged under a
-linear softmax, all trained jointly; a document is as toxic as its worst passage.
+linear softmax, all trained jointly; a document is as toxic as its worst passage.  Texts
+are scored with passages that overlap by half, so no border parts what belongs together.
 """
 
 from __future__ import annotations

@@ -85,3 +85,13 @@ def test_passages():
 def test_words():
     assert toxicity.words("You IDIOT, idiot! st*pid 中文") == re.findall(r"\S+", "you idiot st*pid 中文")
     assert quality.tokens("A A b") == ["A", quality.AGAIN, "b"]
+
+
+def test_a_passage_over_a_border_counts():
+    model = subwords.Model(np.zeros(subwords.BUCKETS, np.float32), 0.0)
+    scorer = subwords.Scorer(model, str.split, 32)
+    scorer.known = {"plain": 0.0, "bad": 4.0}
+    text = ["plain"] * 24 + ["bad"] * 16 + ["plain"] * 24
+    inside = ["bad"] * 16 + ["plain"] * 48
+    over, within, none = scorer.scores([" ".join(text), " ".join(inside), " ".join(["plain"] * 64)])
+    assert over == within == 1 / (1 + np.exp(-2.0)) and none == 0.5
