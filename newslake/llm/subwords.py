@@ -207,7 +207,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_cl
 
     The rows come by the hash of their id, whole texts, as far as the bytes reach.
     ``learn`` is a condition on the column ``id``.  A document with several labels
-    counts with the largest one.
+    counts with the largest one; of rows that share an id one is taken, that with the
+    smallest digest of its text.
     """
     known = pick(labels, id="doc_id", label=label).filter(learn & F.col("label").isin(0, 1))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -215,7 +216,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_cl
     parts = [known.filter(F.col("label") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     # The broadcast side has 2 * per_class rows of an id and a label at most.
     chosen = F.broadcast(parts[0].union(parts[1]))
-    rows = docs.join(chosen, "id").select("id", "label", "text")
+    rows = docs.join(chosen, "id").groupBy("id", "label").agg(F.min_by("text", F.md5("text")).alias("text"))
     sizes = rows.select("id", "label", F.octet_length("text").alias("bytes")).collect()
     left, wanted = {0: size // 2, 1: size // 2}, []
     for row in sorted(sizes, key=lambda r: (crc32(str(r.id).encode()), r.bytes or 0)):

@@ -48,6 +48,15 @@ def test_the_bound_of_the_sample(spark):
     assert len(subwords.sample(docs, labels, "toxic", subwords.F.lit(True), per_class=10, size=1 << 20)) == 20
 
 
+def test_the_sample_has_one_row_per_id(spark):
+    texts = ["", None, "one text", "another text"]
+    docs = spark.createDataFrame([(i, texts[k % 4] if i else "") for i in range(6) for k in range(40)], "id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    found = subwords.sample(docs, labels, "toxic", subwords.F.lit(True), per_class=2, size=1 << 20)
+    assert len(found) == len({i for i, _, _ in found}) == 4
+    assert found == subwords.sample(docs.repartition(3), labels, "toxic", subwords.F.lit(True), per_class=2, size=1 << 20)
+
+
 def test_unseen_spellings_are_near():
     dice = random.Random(2)
     common = [f"{a}{b}{c}" for a in "bdfg" for b in ("an", "el", "ir") for c in ("ta", "mo", "sek")]
