@@ -194,7 +194,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # The texts are shuffled at every size alike: what is looked up grows with them.
     named = met.select("id").distinct().hint("merge")
     texts = docs.join(named, "id", "left_semi")
-    sets = write(map_batches(texts, _sets, f"id {dict(docs.dtypes)['id']}, items array<long>"), "sets")
+    # Of rows that share an id some may be without a text; their empty sets link with nothing.
+    full = map_batches(texts, _sets, f"id {dict(docs.dtypes)['id']}, items array<long>").filter(F.size("items") > 0)
+    sets = write(full, "sets")
     sets = spark.read.parquet(sets)
     stars = (
         met.filter(F.col("id") != F.col("head.id"))

@@ -59,6 +59,20 @@ def test_against_brute_force(spark):
     assert cases.rows(minhash.near_duplicates(df)) == brute(table)
 
 
+def test_ids_with_an_empty_row_among_theirs(spark):
+    dice = random.Random(5)
+    base = [f"w{n}" for n in range(80)]
+    other = [f"v{n}" for n in range(80)]
+    table = []
+    for i in range(60):
+        words = list(base if i % 2 else other)
+        for _ in range(dice.randint(1, 6)):
+            words[dice.randrange(80)] = f"x{dice.randint(0, 900)}"
+        table += [(i, " ".join(words)), (i, None if i % 3 else "")]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    assert cases.rows(minhash.near_duplicates(df)) == brute(table)
+
+
 def test_components_of_a_chain_and_random_links(spark):
     dice = random.Random(3)
     links = [(i, i + 1) for i in range(40)] + [(7, 7), (100, 90)]
