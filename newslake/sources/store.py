@@ -1,4 +1,4 @@
-"""The article store: versioned Parquet snapshots, scans and feature tables."""
+"""The article store: a base table with a Parquet folder of changes per batch, scans and feature tables."""
 
 from __future__ import annotations
 

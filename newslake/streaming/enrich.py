@@ -85,8 +85,9 @@ class EnrichmentJob:
 
     Every write goes to a place named after the batch and replaces what is there,
     so a batch that runs again leaves the same result.  Nothing outside the batch
-    is rewritten; the store is compacted by a job of its own.  ``pages`` is read
-    once per batch and should hold recent fetches, not an archive.
+    is rewritten, and nothing compacts the store: whoever reads it folds all batches
+    since its base again.  ``pages`` is read once per batch and should hold recent
+    fetches, not an archive.
 
     A message without a text is stored with its summary.  With ``alert_on_failure``
     it is neither stored nor published but raises an alert, as a synchronous
