@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, embeddings, exact, licenses, minhash, mixing, quality, tokens, toxicity, wrappers
+from newslake.llm import (
+    chat,
+    embeddings,
+    exact,
+    licenses,
+    minhash,
+    mixing,
+    quality,
+    spans,
+    tokens,
+    toxicity,
+    wrappers,
+)
 from newslake.llm.common import table
 
 QUERIES = {}
@@ -157,3 +169,12 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op12_spans")
+def op12_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every document, with the counts of their links."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = spans.align(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    return spans.with_counts(aligned.select("*", digest).drop("groups"), spans.vocabulary_sizes(*paths))
