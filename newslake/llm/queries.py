@@ -14,12 +14,15 @@ from newslake.llm import (
     minhash,
     mixing,
     quality,
+    repair,
     spans,
     tokens,
     toxicity,
+    warc,
     wrappers,
 )
-from newslake.llm.common import table
+from newslake.llm.common import pick, remove, table
+from newslake.session import work_dir
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -178,3 +181,48 @@ def op12_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = spans.align(table(spark, sf_dir, "documents"), *paths)
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
     return spans.with_counts(aligned.select("*", digest).drop("groups"), spans.vocabulary_sizes(*paths))
+
+
+@query(
+    "op13_warc",
+    f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+    ), f AS (SELECT page_id, html, min(page_id) OVER (PARTITION BY html) AS first FROM p
+    ), r AS (SELECT *, strlen(html) >= {warc.SHARED_BYTES} AND page_id > first AS again FROM f)
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+        if(again, 'revisit', 'response') AS record_type, if(again, first, NULL) AS refers_to
+    FROM r
+    """,
+)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages say of each page, read back by their record chains."""
+    folder = work_dir(spark, "warc")
+    warc.write_archives(warc.records_of(table(spark, sf_dir, "pages")), folder)
+    found = warc.read_archives(spark, folder, payloads=False)
+    remove(spark, folder)
+    again = F.col("type") == "revisit"
+    return found.select(
+        F.col("id").cast("long").alias("page_id"),
+        F.when(again, F.col("stated_bytes")).otherwise(F.col("bytes")).alias("payload_bytes"),
+        F.when(again, F.col("stated_digest")).otherwise(F.col("digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers").cast("long").alias("refers_to"),
+    )
+
+
+@query("op11_repair")
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule, with its faults and its cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    report, turns = repair.repair(repair.damage(conversations), "conv")
+    ids = pick(conversations, conv_id="conv_id").distinct()
+    hashes = repair.digests(turns).withColumnRenamed("conv", "hashed")
+    found = ids.join(report, ids["conv_id"].eqNullSafe(report["conv"]), "left")
+    both = found.join(hashes, found["conv_id"].eqNullSafe(hashes["hashed"]), "left")
+    figures = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return both.select(
+        "conv_id",
+        *figures,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
