@@ -4,13 +4,13 @@ import random
 from difflib import SequenceMatcher
 from hashlib import md5
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from newslake.catalog import QUERIES
 from newslake.catalog.fixtures import arrivals
-from newslake.operators import dedup
-from newslake.operators.title_pairs import lookup_grams
+from newslake.operators import dedup, title_pairs
 
 
 def one_by_one(rows, threshold=0.85):
@@ -117,21 +117,47 @@ def test_blank_and_missing_values(spark):
     assert reasons == one_by_one(filled)
 
 
-@pytest.mark.parametrize("threshold", [0.7, 0.85, 0.95])
-def test_lookup_grams_lose_no_pair(threshold):
+@pytest.mark.parametrize("threshold, blocks", [(0.7, (2048, 1 << 20)), (0.85, (7, 1 << 20)), (0.95, (2048, 90))])
+def test_similar_titles_are_all_found(spark, monkeypatch, threshold, blocks):
+    monkeypatch.setattr(title_pairs, "BLOCK_TITLES", blocks[0])
+    monkeypatch.setattr(title_pairs, "BLOCK_CHARS", blocks[1])
+    monkeypatch.setattr(title_pairs, "LANES", 100)
     rng = random.Random(7)
     titles = [r["title"].strip().lower() for r in random_rows(11, 160)]
     titles += ["".join(rng.choices("abc ", k=rng.randint(0, 30))).strip() for _ in range(60)]
-    # Two empty titles are equal and never meet here; equal titles are grouped before.
-    titles = sorted({t for t in titles if t})
-    grams = {t: set(lookup_grams(t, threshold)) for t in titles}
-    missed = [
-        (a, b)
-        for a in titles
-        for b in titles
-        if a != b and SequenceMatcher(None, a, b).ratio() >= threshold and not grams[a] & grams[b]
-    ]
-    assert not missed
+    for n in (63, 64, 65, 130, 511, 512, 513, 700):
+        long = rng.choices("abcdefgh é\U0001f600", k=n)
+        titles += ["".join(long)] + ["".join(c for c in long if rng.random() > share) for share in (0.02, 0.1, 0.3)]
+    rows = [("a", n, n, t) for n, t in enumerate(sorted({t for t in titles}))]
+    rows += [("b", 1000 + n, n, t) for _, n, _, t in rows[::5]]
+    seqs = {tid: (rng.randrange(900), rng.randrange(900)) for _, tid, _, _ in rows}
+    table = [(tid, c, t, min(seqs[tid]), max(seqs[tid])) for c, tid, _, t in rows]
+    frame = spark.createDataFrame(table, "tid long, category string, title_key string, first_seq long, last_seq long")
+    found = {tuple(r) for r in title_pairs.similar_titles(frame, frame, threshold).collect()}
+    expected = {
+        (x[0], y[0])
+        for x in table
+        for y in table
+        if x[1] == y[1] and x[0] != y[0] and x[4] > y[3] and SequenceMatcher(None, x[2], y[2]).ratio() >= threshold
+    }
+    assert found == expected and len(expected) > 20
+    assert title_pairs.count_possible(frame, threshold, share=1) >= len(expected)
+
+
+def test_common_subsequences_side_by_side():
+    rng = random.Random(3)
+    titles = ["".join(rng.choices("abcdeé中", k=rng.choice([1, 3, 63, 64, 65, 128, 200, 511, 512]))) for _ in range(60)]
+    x, y = (np.array([rng.randrange(60) for _ in range(800)]) for _ in range(2))
+    lengths = title_pairs.common_lengths(titles, titles, x, y).tolist()
+    assert lengths == [title_pairs.common_length(titles[i], titles[j]) for i, j in zip(x, y)]
+    for i, j in zip(x[:60], y[:60]):
+        row = [0] * (len(titles[j]) + 1)
+        for c in titles[i]:
+            new = [0]
+            for k, d in enumerate(titles[j]):
+                new.append(row[k] + 1 if c == d else max(row[k + 1], new[k]))
+            row = new
+        assert title_pairs.common_length(titles[i], titles[j]) == row[-1]
 
 
 def test_given_documents(spark, sf):
