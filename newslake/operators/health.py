@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newslake.operators.compute import explode_once
 from newslake.operators.ordering import first_per_key, trailing_frames, with_previous
+from newslake.session import cut_lineage
 
 HOUR, DAY = 3600, 86400
 # History kept, alert thresholds, pause between equal alerts.
@@ -121,83 +121,52 @@ def alerts(
     return broken.select(*keep, "timestamp", "a.alert_type", "a.message")
 
 
-def _sent(times: np.ndarray, ready: int, pause: int) -> list[int]:
-    """Places of the alerts that are sent if none may go out before ``ready``."""
-    places = []
-    at = int(np.searchsorted(times, ready, "left"))
-    while at < len(times):
-        places.append(at)
-        at = int(np.searchsorted(times, times[at] + pause, "left"))
-    return places
+def _next_times(times: DataFrame, pause: int) -> DataFrame:
+    """``(key, at, to)``: for each time of a key the first one at least a pause later.
 
-
-def cool_down(
-    raised: DataFrame, seconds: int = COOLDOWN, keys: Sequence[str] = ("alert_type",), chunk: int = DAY
-) -> DataFrame:
+    Times and the ends of their pauses are sorted together into ranges of even size,
+    whatever share of them a key has.  Only the first time of each key in a range is
+    carried to the ranges before.
+    """
+    ends = times.select("key", (F.col("at") + pause).alias("at"), F.lit(0).alias("kind"), F.col("at").alias("since"))
+    both = ends.unionByName(times.select("key", "at", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("since")))
+    ranged = cut_lineage(both.repartitionByRange("key", "at", "kind").withColumn("range", F.spark_partition_id()))
+    raised = F.when(F.col("kind") == 1, F.col("at"))
+    firsts = ranged.groupBy("key", "range").agg(F.min(raised).alias("first"))
+    behind = W.partitionBy("key").orderBy("range").rowsBetween(1, W.unboundedFollowing)
+    carried = firsts.select("key", "range", F.min("first").over(behind).alias("later"))
+    inside = W.partitionBy("key", "range").orderBy("at", "kind").rowsBetween(0, W.unboundedFollowing)
+    found = ranged.withColumn("here", F.first(raised, ignorenulls=True).over(inside)).filter("kind = 0")
+    joined = found.join(carried, ["key", "range"])
+    return joined.select("key", F.col("since").alias("at"), F.coalesce("here", "later").alias("to")).filter("to IS NOT NULL")
+
+
+def cool_down(raised: DataFrame, seconds: int = COOLDOWN, keys: Sequence[str] = ("alert_type",)) -> DataFrame:
     """Alerts that are sent: none within the pause after the last one *sent* of its type.
 
-    Whether an alert is sent hangs on the whole chain before it, yet what a chunk
-    of time needs to know is only when the pause it starts in ends, and that end
-    is set by one of the alerts at the end of the chunk before.  So each chunk
-    lists its last sent alert for every way it can start, the lists are followed
-    from chunk to chunk, and then all chunks are worked out on their own.  Only
-    distinct times take part in that; the alerts are looked up at the end.
+    Whether an alert is sent hangs on the whole chain before it.  Every time points to the
+    first one at least a pause later, and what is sent is what the first time of its type
+    leads to.  In each round all pointers become twice as long and what is reached jumps
+    once, so a chain takes as many joins as the logarithm of its length.  Pointers flow
+    together, so only those that something may still jump to are kept; their number
+    falls about by half in every round.  No group holds a type or a day.
     """
-    if seconds > chunk:
-        raise ValueError("a chunk must be at least as long as the pause")
-    pause, width = seconds * 1_000_000, chunk * 1_000_000
-    keys = list(keys)
     at = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    timed = raised.withColumn("_at", at).withColumn("_chunk", F.floor(F.col("_at") / width).cast("long"))
-    group = [*keys, "_chunk"]
-    times = timed.select(*group, "_at").distinct()
-    key_type = ", ".join(f"{k} {raised.schema[k].dataType.simpleString()}" for k in keys)
-
-    def ways(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.unique(pdf["_at"].to_numpy())
-        start = int(pdf["_chunk"].iloc[0]) * width
-        early = times[times < start + pause]
-        # Starting free, or with the pause ending just after one of the early alerts.
-        limits = [start, *(early + 1)]
-        lasts = []
-        for limit in limits:
-            sent = _sent(times, int(limit), pause)
-            lasts.append(int(times[sent[-1]]) if sent else None)
-        # Of neighbouring starts that end alike, the first stands for all.
-        changes = [n for n in range(len(limits)) if n == 0 or lasts[n] != lasts[n - 1]]
-        limits, lasts = [limits[n] for n in changes], [lasts[n] for n in changes]
-        out = pd.DataFrame({"_from": limits, "_last": pd.array(lasts, dtype="Int64")})
-        for k in group:
-            out[k] = pdf[k].iloc[0]
-        return out[[*group, "_from", "_last"]]
-
-    listed = times.groupBy(*group).applyInPandas(ways, f"{key_type}, _chunk long, _from long, _last long")
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, ready = [], 0
-        for number, part in pdf.sort_values(["_chunk", "_from"]).groupby("_chunk", sort=True):
-            rows.append((number, ready))
-            # The way that starts at or before the end of the pause and is closest to it.
-            starts = part["_from"].to_numpy()
-            way = max(int(np.searchsorted(starts, max(ready, int(number) * width), "right")) - 1, 0)
-            last = part["_last"].iloc[way]
-            if not pd.isna(last):
-                ready = int(last) + pause
-        out = pd.DataFrame(rows, columns=["_chunk", "_ready"])
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*group, "_ready"]]
-
-    entries = listed.groupBy(*keys).applyInPandas(follow, f"{key_type}, _chunk long, _ready long")
-
-    def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values("_at")
-        places = _sent(ordered["_at"].to_numpy(), int(ordered["_ready"].iloc[0]), pause)
-        return ordered.iloc[places][[*keys, "_at"]]
-
-    sent = times.join(entries, group).groupBy(*group).applyInPandas(send, f"{key_type}, _at long")
-    one_each = first_per_key(timed, [*keys, "_at"], raised.columns)
-    return one_each.join(sent, [*keys, "_at"], "left_semi").select(raised.columns)
+    timed = raised.withColumn("_key", F.struct(*keys)).withColumn("_at", at)
+    times = timed.select(F.col("_key").alias("key"), F.col("_at").alias("at")).filter("at IS NOT NULL").distinct()
+    jumps = cut_lineage(_next_times(times, seconds * 1_000_000))
+    reached = cut_lineage(times.groupBy("key").agg(F.min("at").alias("at")))
+    count, before = reached.count(), -1
+    while count != before:
+        landed = reached.join(jumps, ["key", "at"]).select("key", F.col("to").alias("at"))
+        reached = cut_lineage(reached.unionByName(landed).distinct())
+        onward = jumps.select("key", F.col("at").alias("to"), F.col("to").alias("far"))
+        longer = jumps.join(onward, ["key", "to"]).select("key", "at", F.col("far").alias("to"))
+        useful = reached.unionByName(jumps.select("key", F.col("to").alias("at"))).distinct()
+        jumps = cut_lineage(longer.join(useful, ["key", "at"], "left_semi"))
+        count, before = reached.count(), count
+    one_each = first_per_key(timed, ["_key", "_at"], raised.columns)
+    return one_each.join(reached.toDF("_key", "_at"), ["_key", "_at"], "left_semi").select(raised.columns)
 
 
 def day_of(ts: str = "timestamp") -> Column:
