@@ -30,25 +30,12 @@ def with_history(checks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
     All frames end before the current check, as it is not part of the history yet.
     """
-    total = F.col("database_total")
-    framed = trailing_frames(
-        checks,
-        "timestamp",
-        HISTORY,
-        {
-            "_hour_n": (HOUR, F.count("*")),
-            "_hour_first": (HOUR, F.first(total)),
-            "_hour_last": (HOUR, F.last(total)),
-            "_day_n": (DAY, F.count("*")),
-            "_day_errors": (DAY, F.sum("error_count")),
-            "_known": (HISTORY, F.count("*")),
-        },
-        keys,
-    )
+    frames = {"_hour": HOUR, "_day": DAY, "_known": HISTORY}
+    framed = trailing_frames(checks, "timestamp", frames, "database_total", {"errors": "error_count"}, keys)
     growth = F.when(F.col("_hour_n") >= 2, F.col("_hour_last") - F.col("_hour_first")).otherwise(F.lit(0))
-    errors, n = F.coalesce("_day_errors", F.lit(0)), F.col("_day_n")
-    before = F.when((F.col("_known") >= 2) & (n > 0), errors / n).otherwise(F.lit(0.0))
-    now = F.when(F.col("_known") >= 1, (errors + F.col("error_count")) / (n + 1)).otherwise(F.lit(0.0))
+    errors, n = F.col("_day_errors"), F.col("_day_n")
+    before = F.when((F.col("_known_n") >= 2) & (n > 0), errors / n).otherwise(F.lit(0.0))
+    now = F.when(F.col("_known_n") >= 1, (errors + F.col("error_count")) / (n + 1)).otherwise(F.lit(0.0))
     return framed.select(
         *checks.columns,
         growth.cast("long").alias("recent_growth"),

@@ -109,26 +109,76 @@ def with_previous(
 
 
 def trailing_frames(
-    df: DataFrame, ts: str, longest: int, frames: dict[str, tuple[int, Column]], keys: Sequence[str] = ()
+    df: DataFrame, ts: str, frames: dict[str, int], value: str, sums: dict[str, str], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Add aggregates over the rows of the last so many seconds before each row.
+    """Add what the last so many seconds before each row hold, for ``frames {name: seconds}``.
 
-    ``frames`` maps a new column to ``(seconds, aggregate)``.  Frames exclude the
-    row itself and any row exactly as old as the frame is long.  Each row is seen
-    in its own time bucket and, as history, in the next one; with buckets as wide
-    as the longest frame that covers every frame.
+    Each frame gives ``<name>_n``, the sums ``<name>_<new column>`` of ``sums {new column:
+    column}``, and ``<name>_first`` and ``<name>_last`` of ``value``.  Frames exclude the row
+    itself, rows of the same time, and any row exactly as old as the frame is long; of
+    several rows of one time the smallest value is the first and the largest the last.
+
+    A frame is the difference of two running totals.  The times of a series and the
+    borders of all frames are sorted together into ranges of even size, so a series may
+    hold all rows and a frame any number of them; one row per series and range carries
+    totals from range to range.
     """
-    width = longest * 1_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    own = F.floor(micros / F.lit(width)).cast("long")
-    copies = df.withColumn("_at", micros).select(
-        "*", F.posexplode(F.array(own, own + 1)).alias("_copy", BUCKET)
+    keyed = df.withColumn("_key", F.struct(*keys, F.lit(0).alias("_"))).withColumn("_at", micros)
+    own = [F.count("*").alias("n"), *(F.sum(c).alias(f"s_{new}") for new, c in sums.items())]
+    points = keyed.groupBy(F.col("_key").alias("key"), F.col("_at").alias("at")).agg(
+        *own, F.min(value).alias("low"), F.max(value).alias("high")
+    )
+    totals = ["n", *(f"s_{new}" for new in sums)]
+    none = [F.lit(None).cast(points.schema[c].dataType).alias(c) for c in (*totals, "low", "high")]
+    borders = [F.struct(F.lit(name).alias("frame"), (F.col("at") - s * 1_000_000 + 1).alias("q")) for name, s in frames.items()]
+    asked = points.select("key", F.col("at").alias("since"), F.explode(F.array(F.struct(F.lit("").alias("frame"), F.col("at").alias("q")), *borders)).alias("b"))
+    asked = asked.select("key", F.col("b.q").alias("at"), F.lit(0).alias("kind"), "since", "b.frame", *none)
+    held = points.select("key", "at", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("since"), F.lit(None).cast("string").alias("frame"), *totals, "low", "high")
+    ranged = cut_lineage(asked.unionByName(held).repartitionByRange("key", "at", "kind").withColumn("range", F.spark_partition_id()))
+
+    parts = ranged.groupBy("key", "range").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals],
+        F.max_by("high", F.when(F.col("kind") == 1, F.col("at"))).alias("last"),
+        F.min_by("low", F.when(F.col("kind") == 1, F.col("at"))).alias("first"),
+    )
+    series = W.partitionBy("key").orderBy("range")
+    before, behind = series.rowsBetween(W.unboundedPreceding, -1), series.rowsBetween(1, W.unboundedFollowing)
+    carried = parts.select(
+        "key",
+        "range",
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"before_{c}") for c in totals],
+        F.last("last", ignorenulls=True).over(before).alias("before_last"),
+        F.first("first", ignorenulls=True).over(behind).alias("behind_first"),
     )
-    columns = []
-    for name, (seconds, aggregate) in frames.items():
-        frame = W.partitionBy(*keys, BUCKET).orderBy("_at").rangeBetween(-(seconds * 1_000_000 - 1), -1)
-        columns.append(aggregate.over(frame).alias(name))
-    return copies.select("*", *columns).filter(F.col("_copy") == 0).drop("_at", "_copy", BUCKET)
+    inside = W.partitionBy("key", "range").orderBy("at", "kind")
+    upto, onward = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(0, W.unboundedFollowing)
+    seen = ranged.select(
+        "key", "range", "kind", "since", "frame",
+        *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in totals],
+        F.last("high", ignorenulls=True).over(upto).alias("last"),
+        F.first("low", ignorenulls=True).over(onward).alias("first"),
+    )
+    answers = seen.filter("kind = 0").join(carried, ["key", "range"]).select(
+        "key",
+        "since",
+        "frame",
+        *[(F.col(c) + F.col(f"before_{c}")).alias(c) for c in totals],
+        F.coalesce("last", "before_last").alias("last"),
+        F.coalesce("first", "behind_first").alias("first"),
+    )
+
+    def of(frame: str, column: str) -> Column:
+        return F.max(F.when(F.col("frame") == frame, F.col(column)))
+
+    found = []
+    for name in frames:
+        differences = {c: of("", c) - of(name, c) for c in totals}
+        some = differences["n"] > 0
+        found += [differences["n"].alias(f"{name}_n"), *(differences[f"s_{new}"].alias(f"{name}_{new}") for new in sums)]
+        found += [F.when(some, of(name, "first")).alias(f"{name}_first"), F.when(some, of("", "last")).alias(f"{name}_last")]
+    per_time = answers.groupBy(F.col("key").alias("_key"), F.col("since").alias("_at")).agg(*found)
+    return keyed.join(per_time, ["_key", "_at"]).drop("_key", "_at")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -65,6 +65,27 @@ def test_series_are_kept_apart(spark):
     assert [r.growth_trend for r in linked] == steps
 
 
+def test_frames_of_one_series_in_many_ranges(spark):
+    rng = random.Random(6)
+    start = datetime(2024, 1, 1)
+    rows = [(start + timedelta(seconds=rng.randrange(4000)), rng.randrange(100), rng.randrange(5)) for _ in range(700)]
+    frame = spark.createDataFrame(rows, "at timestamp, v long, e long").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        framed = ordering.trailing_frames(frame, "at", {"a": 60, "b": 900}, "v", {"e": "e"}).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted((r.at, r.v, r.e) for r in framed) == sorted(rows)
+    for r in framed:
+        for name, seconds in (("a", 60), ("b", 900)):
+            past = [x for x in rows if r.at - timedelta(seconds=seconds) < x[0] < r.at]
+            ends = [(min(x[1] for x in past if x[0] == min(past)[0]), max(x[1] for x in past if x[0] == max(past)[0]))] if past else [(None, None)]
+            assert (r[f"{name}_n"], r[f"{name}_e"]) == (len(past), sum(x[2] for x in past))
+            assert (r[f"{name}_first"], r[f"{name}_last"]) == ends[0]
+
+
 def test_alert_rules(spark):
     row = (datetime(2024, 1, 1), 10, 4, 40.0, False, 1, 3, 0.0, 0.25)
     frame = spark.createDataFrame([row], f"{SCHEMA}, recent_growth long, error_rate double, error_rate_now double")
