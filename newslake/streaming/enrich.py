@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from newslake.functions.dates import now_iso
-from newslake.functions.text import strip
+from newslake.functions.html import extract_main_content
+from newslake.functions.text import is_blocked_or_paywalled, strip
 from newslake.operators.enrich import fetch_outcomes, successful
 from newslake.schemas import ITEM_MESSAGE
 from newslake.session import cut_lineage
@@ -59,6 +60,38 @@ def enrich_messages(messages: DataFrame, pages: DataFrame) -> DataFrame:
     return enriched.withColumn("enrichment_status", status)
 
 
+def enrich_as_pages_arrive(messages: DataFrame, pages: DataFrame, wait: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """A stream of messages joined to a stream of fetched pages, whichever comes first.
+
+    ``pages`` are ``(link, status, html, fetched_at)``, ``messages`` item messages; times are
+    texts as in messages.  A message takes the text of its link's page if that was fetched
+    at most ``wait`` before or after it, and is passed on at once when both are there.  When
+    the watermarks show that no page can come any more it is passed on with its summary.
+    Rows may come up to ``late`` behind the newest of their stream.  Of the fetches of a
+    link within ``wait`` the first to arrive counts.  Pages are read for their text before
+    they are kept, and both sides are forgotten after the wait.
+    """
+    usable = (F.col("status") == 200) & ~is_blocked_or_paywalled("status", "html")
+    fetched = (
+        pages.withColumn("_fetched", F.to_timestamp("fetched_at"))
+        .withWatermark("_fetched", late)
+        .withColumn("_page", strip(F.coalesce("link", F.lit(""))))
+    )
+    once = fetched.filter(F.coalesce(usable, F.lit(False))).dropDuplicatesWithinWatermark(["_page"])
+    texts = once.select("_page", "_fetched", extract_main_content("html").alias("full_content")).filter(
+        F.length("full_content") > 0
+    )
+    titled = strip(F.coalesce("title", F.lit(""))) != ""
+    # A message that asks for nothing waits under a link of its own.
+    asked = F.when(titled, strip(F.coalesce("link", F.lit("")))).otherwise(F.concat(F.lit(" "), "id"))
+    sent = messages.withColumn("_sent", F.to_timestamp("fetched_at")).withWatermark("_sent", late).withColumn("_asked", asked)
+    span = F.expr(f"INTERVAL {wait}")
+    near = (F.col("_fetched") >= F.col("_sent") - span) & (F.col("_fetched") <= F.col("_sent") + span)
+    joined = sent.join(texts, (F.col("_asked") == F.col("_page")) & near, "left_outer")
+    status = F.when(F.col("full_content").isNull(), F.lit("summary_only")).otherwise(F.lit("full"))
+    return joined.select(*messages.columns, "full_content", status.alias("enrichment_status"))
+
+
 def failed_fetches(enriched: DataFrame) -> DataFrame:
     """An alert for every message whose page gave no text."""
     return enriched.filter(F.col("enrichment_status") == "summary_only").select(
