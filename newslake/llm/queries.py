@@ -178,9 +178,8 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned in every document, with the counts of their links."""
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    aligned = spans.align(table(spark, sf_dir, "documents"), *paths)
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
-    return spans.with_counts(aligned.select("*", digest).drop("groups"), spans.vocabulary_sizes(*paths))
+    aligned = spans.align(table(spark, sf_dir, "documents"), *paths, hashed=True)
+    return spans.with_counts(aligned.withColumnRenamed("groups", "groups_sha256"), spans.vocabulary_sizes(*paths))
 
 
 @query(

@@ -17,6 +17,8 @@ and looked up are the blocks' pairs, and a pair in every document is one row a b
 from __future__ import annotations
 
 import functools
+import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -33,18 +35,28 @@ from newslake.llm.common import pick, written
 from newslake.llm.tokens import SPACE, Recent
 
 #: Characters of texts that a task works on together, and of unknown words aligned as one text.
-SLICE_CHARS, JOINED_CHARS = 1 << 20, 1 << 18
+SLICE_CHARS, JOINED_CHARS = 1 << 18, 1 << 17
+#: Words of a task that are remembered, at most twice so many.
+KNOWN_WORDS = 200_000
 #: Pairs of documents in a block (a document is never split).
 BLOCK_PAIRS = 1 << 21
 #: Texts are cut into words before each space that follows no white space; no token of
 #: either tokenizer goes over such a place.
-BORDER = re.compile(f"(?<=[^{SPACE}])(?= )")
+BORDER = re.compile(f"(?<=[^{SPACE}]) ")
+#: Where a text has this, not each of its spaces is such a place.
+RUN = re.compile(f"[{SPACE}] |^ ")
 #: Comes before joined words, so that the space which B adds is never part of one.
-HEAD = " x"
+HEAD = "x"
 
 _FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The values of one ascending array without repeats that another such one has too."""
+    at = np.searchsorted(b, a)
+    return a[b[np.minimum(at, len(b) - 1)] == a] if len(b) else b
+
+
 def byte_of_character() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for.
 
@@ -77,10 +89,11 @@ class Aligner:
         self.pairs = len(self.bytes_a) * len(self.bytes_b)
         self.key = np.dtype("<u4") if self.pairs <= 1 << 32 else np.dtype("<u8")
         self._length_a, self._length_b = (np.array([len(x) for x in v], "i8") for v in (self.bytes_a, self.bytes_b))
-        # Ids as text, with what may follow them: A "," and "|", then B "," and ";".
+        # Ids as text, with what may follow them: A "," and "|", then B "." (a comma later) and ";".
         numbers_a, numbers_b = (list(map(str, range(len(v)))) for v in (self.bytes_a, self.bytes_b))
-        self._said = [n + end for v, ends in ((numbers_a, ",|"), (numbers_b, ",;")) for end in ends for n in v]
-        self._known = Recent()
+        self._said = [n + end for v, ends in ((numbers_a, ",|"), (numbers_b, ".;")) for end in ends for n in v]
+        self._said_length = np.array(list(map(len, self._said)), "i8")
+        self._known = Recent(KNOWN_WORDS)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -99,21 +112,21 @@ class Aligner:
             return None
         ids_a, ids_b = np.array(list_a, "i8"), np.array(list_b, "i8")
         # Characters' offsets of A as bytes; tokens inside a character share its span.
-        spans = np.array(encoding.offsets, "i8")
+        spans = np.fromiter(itertools.chain.from_iterable(encoding.offsets), "i8", 2 * len(list_a)).reshape(-1, 2)
         if len(raw) != len(text):
             first = np.flatnonzero((np.frombuffer(raw, "u1") & 0xC0) != 0x80)
             spans = np.append(first, len(raw))[spans]
         end_a = spans[:, 1]
         whole_a = np.append(spans[1:, 0] >= end_a[:-1], True)
         # B's spans leave the added space out; the bytes of a character but the last have no width.
-        end_b = np.array([p.end for p in pieces], "i8") + 1
+        end_b = np.fromiter([p.end for p in pieces], "i8", len(list_b)) + 1
         whole_b = np.diff(end_b, prepend=0) > 0
         ending = np.flatnonzero(whole_b)
         end_b = end_b[ending[np.searchsorted(ending, np.arange(len(end_b)))]]
 
-        cuts = np.intersect1d(end_a[whole_a], end_b[whole_b])
+        cuts = _common(end_a[whole_a], end_b[whole_b])
         at_a, at_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-        both = np.intersect1d(at_a[~whole_a], at_b[~whole_b])
+        both = np.intersect1d(at_a[~whole_a], at_b[~whole_b])  # few
         if len(both):
             end_a, end_b = np.cumsum(self._length_a[ids_a]), np.cumsum(self._length_b[ids_b])
             finer = np.intersect1d(end_a[np.isin(at_a, both)], end_b[np.isin(at_b, both)])
@@ -121,10 +134,10 @@ class Aligner:
             at_a, at_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
         return ids_a, ids_b, at_a, at_b, cuts
 
-    def _parts(self, text: str, sizes: list[int]) -> list[tuple[str, bytes, bytes]] | None:
-        """What there is to know of each part of a text; None if its bytes or cuts don't fit.
+    def _parts(self, text: str, sizes: list[int]) -> list[tuple[str, bytes]] | None:
+        """The text of the groups, and the keys of the links, of each part of a text.
 
-        A part is the text of its groups, the keys of its links, and its figures.
+        None if its bytes or cuts don't fit.  In these texts full stops part ids of B.
         """
         found = self.groups(text)
         if found is None:
@@ -135,15 +148,15 @@ class Aligner:
         if (cuts[np.minimum(upto, len(cuts) - 1)] != ends).any():
             return None
         n_a, n_b = np.bincount(at_a, minlength=len(cuts)), np.bincount(at_b, minlength=len(cuts))
-        per_group = np.stack([n_a, n_b, np.ones_like(n_a), n_a * n_b], axis=1)
-        totals = np.cumsum(per_group, axis=0)[upto]
-        figures = np.diff(totals, axis=0, prepend=0).astype("<i8")
+        tokens_upto, links_upto = np.cumsum(n_a + n_b)[upto], np.cumsum(n_a * n_b)[upto] * self.key.itemsize
 
         size_a, size_b = len(self.bytes_a), len(self.bytes_b)
         last_a, last_b = np.append(at_a[1:] != at_a[:-1], True), np.append(at_b[1:] != at_b[:-1], True)
         codes = np.concatenate([ids_a + size_a * last_a, ids_b + 2 * size_a + size_b * last_b])
         order = np.argsort(np.concatenate([2 * at_a, 2 * at_b + 1]), kind="stable")
-        said = list(map(self._said.__getitem__, codes[order].tolist()))
+        codes = codes[order]
+        said = "".join(map(self._said.__getitem__, codes.tolist()))
+        said_upto = np.cumsum(self._said_length[codes])[tokens_upto - 1].tolist()
 
         times = n_b[at_a]  # links of every token of A
         begun = np.cumsum(times) - times
@@ -151,17 +164,13 @@ class Aligner:
         partner = np.arange(times.sum()) + np.repeat(first_b - begun, times)
         keys = (np.repeat(ids_a, times) * size_b + ids_b[partner]).astype(self.key).tobytes()
 
-        width, out = self.key.itemsize, []
-        words_upto, links_upto = totals[:, :2].sum(axis=1).tolist(), (totals[:, 3] * width).tolist()
-        words = links = 0
-        for i, (w, k) in enumerate(zip(words_upto, links_upto, strict=True)):
-            out.append(("".join(said[words:w])[:-1], keys[links:k], figures[i].tobytes()))
-            words, links = w, k
-        return out
+        links_upto = links_upto.tolist()
+        borders = zip([0, *said_upto], said_upto, [0, *links_upto], links_upto, strict=False)
+        return [(said[a : b - 1], keys[c:d]) for a, b, c, d in borders]
 
     def _learn(self, words: list[str]) -> Iterable[tuple[str, tuple | None]]:
         """Words with what there is to know of them; None for those whose bytes don't fit."""
-        parts = self._parts(HEAD + "".join(words), [len(HEAD), *(len(w.encode()) for w in words)])
+        parts = self._parts(" " + " ".join([HEAD, *words]), [1 + len(w.encode()) for w in (HEAD, *words)])
         if parts is not None:
             yield from zip(words, parts[1:], strict=True)
         elif len(words) > 1:
@@ -173,9 +182,10 @@ class Aligner:
 
     def align(self, texts: list[str | None]) -> list[tuple[str, np.ndarray, list[int]]]:
         """Per text: its groups, the keys of all links, and the four figures."""
-        split = [BORDER.split(" " + t) if t else [] for t in texts]
+        split = [(BORDER.split(t) if RUN.search(t) else t.split(" ")) if t else [] for t in texts]
+        words = dict.fromkeys(itertools.chain.from_iterable(split))
         table, unknown = {}, []
-        for word in dict.fromkeys(w for words in split for w in words):
+        for word in words:
             found = self._known.get(word) or self._known.recall(word)
             if found is None:
                 unknown.append(word)
@@ -186,21 +196,22 @@ class Aligner:
             batch.append(word)
             chars += len(word)
             # White space ends a text; no word of another one must come behind it.
-            if chars >= JOINED_CHARS or word[-1].isspace() or place + 1 == len(unknown):
+            if chars >= JOINED_CHARS or word[-1:].isspace() or not word or place + 1 == len(unknown):
                 for known, found in self._learn(batch):
                     table[known] = found
                     if found is not None and len(known) <= 64:
                         self._known.keep(known, found)
                 batch, chars = [], 0
+        unfit = {word for word, found in table.items() if found is None} if None in table.values() else set()
         out = []
         for words in split:
-            parts = [table[w] for w in words]
-            if not parts or None in parts:
+            if not words or not unfit.isdisjoint(words):
                 out.append(("", np.empty(0, self.key), [0, 0, 0, 0]))
                 continue
-            figures = np.frombuffer(b"".join([p[2] for p in parts]), "<i8").reshape(-1, 4).sum(axis=0)
-            keys = np.frombuffer(b"".join([p[1] for p in parts]), self.key)
-            out.append((";".join([p[0] for p in parts]), keys, figures.tolist()))
+            groups, keys = zip(*map(table.__getitem__, words), strict=True)
+            said, links = ";".join(groups), np.frombuffer(b"".join(keys), self.key)
+            n = said.count(";") + 1
+            out.append((said.replace(".", ","), links, [n + said.count(","), n + said.count("."), n, len(links)]))
         return out
 
 
@@ -226,13 +237,16 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(
+    df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False
+) -> DataFrame:
     """Align the tokens of every whole text:
     ``id_col, n_a, n_b, n_groups, n_links long, groups string, pairs binary, times binary``.
 
     A encodes a space and the text, B the text, to which it adds the space itself; special
     tokens in texts are plain text.  Byte offsets where both have a token end cut the tokens
-    into groups.  ``groups`` says them as ``a1,a2|b1;a3|b2,b3``, ids of A before those of B.
+    into groups.  ``groups`` says them as ``a1,a2|b1;a3|b2,b3``, ids of A before those of B;
+    that is several times the text, and ``hashed`` gives its SHA-256 (hex) in its place.
     Tokens of a group are linked; ``pairs`` holds the distinct linked pairs in order, as
     little-endian unsigned integers ``a * |B| + b`` (32 bits where that is enough, else
     64), ``times`` how often each occurs (32 bits).
@@ -258,7 +272,10 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
             unique = [np.unique(keys, return_counts=True) for _, keys, _ in found]
             columns = [part.column("id")]
             columns += [pa.array([figures[i] for _, _, figures in found], pa.int64()) for i in range(4)]
-            columns.append(pa.array([groups for groups, _, _ in found], pa.string()))
+            said = [groups for groups, _, _ in found]
+            if hashed:
+                said = [hashlib.sha256(groups.encode()).hexdigest() if groups else "" for groups in said]
+            columns.append(pa.array(said, pa.string()))
             columns.append(pa.array([keys.tobytes() for keys, _ in unique], pa.binary()))
             columns.append(pa.array([times.astype("<u4").tobytes() for _, times in unique], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
