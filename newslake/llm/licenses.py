@@ -31,6 +31,15 @@ PHRASES = {
     "licensed under cc by nd": "cc-by-nd",
     "creative commons attribution": "cc-by",
     "creative commons zero": "cc0",
+    "permission is hereby granted free of charge": "mit",
+    "gnu gpl": "gpl",
+    "gnu lgpl": "lgpl",
+    "gnu agpl": "agpl",
+    "zlib license": "zlib",
+    "this is free and unencumbered software": "unlicense",
+    "sil open font license": "ofl",
+    "common development and distribution license": "cddl",
+    "artistic license": "artistic",
     "all rights reserved": "reserved",
 }
 TAGS = ("spdx-license-identifier:",)
@@ -38,7 +47,7 @@ TAGS = ("spdx-license-identifier:",)
 FREEDOM = {
     "cc0": 1.0, "public-domain": 1.0, "unlicense": 1.0, "mit": 1.0, "isc": 1.0, "bsd": 1.0, "bsl": 1.0, "zlib": 1.0,
     "apache": 0.9, "cc-by-nc": 0.2, "cc-by-nd": 0.2, "cc-by-sa": 0.6, "cc-by": 0.9, "mpl": 0.6, "epl": 0.6,
-    "lgpl": 0.5, "agpl": 0.2, "gpl": 0.3, "reserved": 0.0,
+    "ofl": 0.8, "artistic": 0.7, "cddl": 0.6, "lgpl": 0.5, "agpl": 0.2, "gpl": 0.3, "reserved": 0.05,
 }
 UNKNOWN = 0.1
 #: What an exception (``GPL-2.0 WITH Classpath-exception-2.0``) adds.
@@ -76,54 +85,66 @@ def parse(text: str) -> tuple[str, list[str], float] | None:
 
     Its source, its labels (lower-case identifiers, ``x with y`` for exceptions) and
     its freedom: the freest of alternatives, the least free of what holds together.
-    ``with`` binds closest, then ``and``, then ``or``.
+    ``with`` binds closest, then ``and``, then ``or``; it takes one identifier and one
+    exception, so a group, or an exception, beside it ends the expression.  The work
+    is linear in the text.
     """
-    values: list[tuple[set[str], float]] = []
+    labels: list[str] = []
+    values: list[float] = []
     waiting: list[str] = []
-    best, at, operand = None, 0, True
+    groups = 0
+    best, at, operand, plain = None, 0, True, False
 
-    def apply(values: list, name: str) -> None:
-        (right, b), (left, a) = values.pop(), values.pop()
-        if name == "with":
-            values.append(({f"{x} with {y}" for x in left for y in right}, min(1.0, a + EXCEPTION)))
-        else:
-            values.append((left | right, max(a, b) if name == "or" else min(a, b)))
-
-    def finished() -> tuple[set[str], float] | None:
-        if "(" in waiting:
-            return None
-        left = list(values)
-        for name in reversed(waiting):
-            apply(left, name)
-        return left[0]
+    def apply(values: list[float], name: str) -> None:
+        right, left = values.pop(), values.pop()
+        values.append(max(left, right) if name == "or" else min(left, right))
 
     while token := _TOKEN.match(text, at):
         word = token[1].lower()
         if operand:
-            if word == "(":
+            if word == "(" and waiting[-1:] != ["with"]:
                 waiting.append(word)
-            elif word == ")" or word in _BINDS:
+                groups += 1
+            elif word in "()" or word in _BINDS:
                 break
             else:
                 label = word.rstrip(".")
-                values.append(({label}, freedom(label)))
+                if waiting[-1:] == ["with"]:
+                    waiting.pop()
+                    labels[-1] += f" with {label}"
+                    values[-1] = min(1.0, values[-1] + EXCEPTION)
+                    plain = False
+                else:
+                    labels.append(label)
+                    values.append(freedom(label))
+                    plain = True
                 operand = False
         elif word == ")":
-            if "(" not in waiting:
+            if not groups:
                 break
             while (name := waiting.pop()) != "(":
                 apply(values, name)
+            groups -= 1
+            plain = False
         elif word in _BINDS:
-            while waiting and _BINDS.get(waiting[-1], 0) >= _BINDS[word]:
+            if word == "with" and not plain:
+                break
+            while word != "with" and waiting and _BINDS.get(waiting[-1], 0) >= _BINDS[word]:
                 apply(values, waiting.pop())
             waiting.append(word)
             operand = True
         else:
             break
         at = token.end()
-        if not operand and (value := finished()):
-            best = text[:at].strip(), sorted(value[0]), value[1]
-    return best
+        if not operand and not groups:  # then at most an "or" and an "and" wait
+            left = list(values)
+            for name in reversed(waiting):
+                apply(left, name)
+            best = at, len(labels), left[0], labels[-1]
+    if best is None:
+        return None
+    end, n, value, last = best
+    return text[:end].strip(), sorted({*labels[: n - 1], last}), value
 
 
 def scan(text: str | None) -> tuple[int, list[dict], list[dict]]:
@@ -139,7 +160,8 @@ def scan(text: str | None) -> tuple[int, list[dict], list[dict]]:
         found.append({"label": label, "base": base, "first": word - size, "words": size})
     stated = []
     for end, _ in tags.iter(text.encode().lower().decode()):  # only A-Z change, so places stay
-        if parsed := parse(text[end + 1 :].split("\n", 1)[0]):
+        line_end = text.find("\n", end + 1)
+        if parsed := parse(text[end + 1 : line_end if line_end >= 0 else len(text)]):
             stated.append(dict(zip(("expression", "labels", "freedom"), parsed, strict=True)))
     return len(words), found, stated
 
@@ -182,7 +204,7 @@ def _joined(labels: Column) -> Column:
 def summary(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row of figures per scanned row.
 
-    ``score`` is the freedom of the least free notice or expression, 0 without any.
+    ``score`` is the freedom of the least free notice or expression; 0 says that there is none.
     """
     base = F.filter("found", lambda x: x["base"])
     found = F.transform("found", lambda x: x["label"])

@@ -45,6 +45,17 @@ def test_expressions(text, source, labels, freedom):
     assert licenses.parse(text) == (source, labels, pytest.approx(freedom))
 
 
+def test_hostile_expressions_take_linear_work():
+    assert licenses.parse("(a or b) with c")[:2] == ("(a or b)", ["a", "b"])
+    assert licenses.parse("a with (b or c)")[:2] == ("a", ["a"])
+    assert licenses.parse("a with b with c")[:2] == ("a with b", ["a with b"])
+    assert licenses.parse(" with ".join(f"(a{i} or b{i})" for i in range(1000)))[1] == ["a0", "b0"]
+    assert len(licenses.parse(" or ".join(f"a{i} and (b{i})" for i in range(20_000)))[1]) == 40_000
+    assert licenses.parse("(" * 100_000 + "a" + ")" * 100_000)[1] == ["a"]
+    tags = "SPDX-License-Identifier: mit " * 20_000
+    assert len(licenses.scan(tags)[2]) == 20_000
+
+
 @pytest.mark.parametrize("text", ["", "AND MIT", "()", "(MIT", ")", "with"])
 def test_no_expression(text):
     assert licenses.parse(text) is None
