@@ -50,6 +50,13 @@ ASIDE_WORDS = set(
     "sidebar signup skip social sponsor sponsored subscribe teaser toolbar widget".split()
 )
 MAIN_WORDS = {"articlebody", "main"}
+#: Reader comments are no part of an article, whatever elements they are made of (fixed values).
+COMMENT_WORDS = set("comment comments disqus replies reply respond".split())
+#: How class names begin or end that say what state a page is in, not what an element is (fixed values).
+STATE_BEGINS = set("has hide is js no non not show with without".split())
+STATE_ENDS = set("active allowed closed disabled enabled hidden none off on open visible".split())
+#: Elements that hold an article whatever their classes say (fixed values).
+NEVER_ASIDE = {"html", "body", "main", "article"}
 CLOSED_BY_ITSELF = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 _SIGN_ASIDE, _SIGN_MAIN = "-", "*"
 
@@ -61,23 +68,44 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
-def _element(name: str, source: str) -> str:
-    """The element as a step of a path: its name, the words of its class and a sign."""
+def _names(given: dict[str, str]) -> list[list[str]]:
+    """The words of each class name, id, role and property."""
+    values = (given.get(a, "").lower().split() for a in ("class", "id", "role", "itemprop"))
+    return [words for names in values for name in names if (words := [w for w in re.split(r"[^a-z]+", name) if w])]
+
+
+def _element(name: str, source: str) -> tuple[str, bool]:
+    """The element as a step of a path: a sign, its name and the words of its class.
+
+    The second value says whether only its names make it an aside, and not for reader
+    comments; such an element may turn out to hold the page's articles.
+    """
     given = _attributes(source) if source.strip() else {}
-    words = {w for a in ("class", "id", "role", "itemprop") for w in re.split(r"[^a-z]+", given.get(a, "").lower()) if w}
+    names = _names(given)
+    words = {w for of in names for w in of}
+    meant = {w for of in names if of[0] not in STATE_BEGINS and (len(of) == 1 or of[-1] not in STATE_ENDS) for w in of}
     hidden = "hidden" in given or "display:none" in given.get("style", "").replace(" ", "").lower()
-    sign = ""
-    if name in ASIDE or words & ASIDE_WORDS or hidden:
+    sign, doubtful = "", False
+    if name in ASIDE or hidden:
         sign = _SIGN_ASIDE
-    elif name in MAIN or words & MAIN_WORDS:
+    elif meant & ASIDE_WORDS and (name not in NEVER_ASIDE or name == "article" and meant & (COMMENT_WORDS | {"teaser", "promo"})):
+        sign, doubtful = _SIGN_ASIDE, not meant & COMMENT_WORDS
+    elif name in MAIN or meant & MAIN_WORDS:
         sign = _SIGN_MAIN
-    return sign + ".".join([name, *sorted(words - MAIN_WORDS)])
+    return sign + ".".join([name, *sorted(words - MAIN_WORDS)]), doubtful
 
 
 def blocks(html: str | None) -> list[tuple[str, str]]:
-    """The blocks of a page in order: path and text with single spaces."""
-    out: list[tuple[str, str]] = []
-    open_elements: list[tuple[str, str]] = []
+    """The blocks of a page in order: path and text with single spaces.
+
+    An element that only its class calls an aside is none if it holds all articles of
+    the page that lie outside of other asides.
+    """
+    out: list[tuple[list[int], str]] = []
+    steps: list[str] = []
+    open_elements: list[tuple[str, int]] = []
+    doubtful: dict[int, int] = {}
+    articles = 0
     text: list[str] = []
     silent = ""
 
@@ -85,11 +113,10 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
         joined = " ".join("".join(text).split())
         text.clear()
         if joined:
-            steps = [step for name, step in open_elements if name not in INLINE or step[0] == _SIGN_ASIDE]
-            out.append(("/".join(steps), joined))
+            out.append(([s for name, s in open_elements if name not in INLINE or steps[s][0] == _SIGN_ASIDE], joined))
 
     def close(place: int) -> None:
-        if any(n not in INLINE or s[0] == _SIGN_ASIDE for n, s in open_elements[place:]):
+        if any(n not in INLINE or steps[s][0] == _SIGN_ASIDE for n, s in open_elements[place:]):
             flush()
         del open_elements[place:]
 
@@ -116,7 +143,7 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
         elif name in SILENT:
             silent = "" if token.endswith("/>") else name
         else:
-            step = _element(name, tag[3])
+            step, unsure = _element(name, tag[3])
             if name not in INLINE or step[0] == _SIGN_ASIDE:
                 flush()
             if name not in INLINE:
@@ -127,9 +154,20 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
                         close(place)
                 elif "p" in names:
                     close(len(names) - 1 - names[::-1].index("p"))
-            open_elements.append((name, step))
+            within = [s for _, s in open_elements if steps[s][0] == _SIGN_ASIDE]
+            if name in MAIN and step[0] == _SIGN_MAIN and all(s in doubtful for s in within):
+                articles += 1
+                for s in within:
+                    doubtful[s] += 1
+            if unsure:
+                doubtful[len(steps)] = 0
+            open_elements.append((name, len(steps)))
+            steps.append(step)
     flush()
-    return out
+    for s, held in doubtful.items():
+        if articles and held == articles:
+            steps[s] = steps[s][1:]
+    return [("/".join(steps[s] for s in path), joined) for path, joined in out]
 
 
 # A wrapper is a list of items: {"p": path, "?": optional, "+": repeated, "t": digest of

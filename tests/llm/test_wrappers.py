@@ -73,3 +73,20 @@ def test_hosts_with_one_page_or_copies_of_one_keep_single_blocks(spark):
     single = "<body><h1>Headline</h1><div class=x><p>First</p><p>Second</p></div></body>"
     alone = spark.createDataFrame([(1, "http://a.example", single)], df.schema)
     assert wrappers.extract(alone).first().text == "Headline\n\nFirst\n\nSecond"
+
+
+def test_class_names_that_say_a_state_lose_no_article():
+    article = "<article{}><h1>Head</h1><p>Text of it</p></article>"
+    pages = [
+        '<body class="no-sidebar">' + article.format("") + "</body>",
+        "<body>" + article.format(' class="post comments-open"') + "</body>",
+        '<body><div class="search-results-open">' + article.format("") + "</div></body>",
+        '<html class="js has-banner"><body class="page login"><main class="share">' + article.format("") + "</main></body>",
+        '<body><div class="widget">' + article.format("") + '</div><div class="widget">Buy</div></body>',
+        '<body><div class="sidebar"><div class="widget">' + article.format("") + '</div></div><div id="comments"><article>No</article></div></body>',
+        '<body><nav><article>Menu</article></nav><div class="promo">' + article.format("") + "</div></body>",
+        '<body><div class="sidebar"><article>Other</article></div>' + article.format("") + '<article class="comment">Me too</article></body>',
+    ]
+    for page in pages:
+        read = wrappers.blocks(page)
+        assert wrappers.main_text(read, wrappers.reading(wrappers.stream(read))) == "Head\n\nText of it", page
