@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.llm.common import by_place, pick, place_of, remove, rows_of_ids, write, written
+from newslake.operators.ordering import join_per_key
 from newslake.session import work_dir
 
 #: Members of a group that are compared with one dealt-out copy of its content.
@@ -115,13 +116,14 @@ def duplicates(
         groups = written(groups_of(spark, folder, state, batch_bytes), "exact-groups")
         remove(spark, state)
 
-    hits = arrivals.join(groups.filter("copies > 1"), "digest").distinct()
+    # A digest with very many rows is spread: its group travels to them.
+    hits = join_per_key(arrivals.distinct(), groups.filter("copies > 1"), "digest", "copies").filter("copies IS NOT NULL")
     same_row = rows["id"].eqNullSafe(hits["id"]) & (rows["digest"] == hits["digest"])
     members = write(rows.join(hits, same_row).select(hits["*"], "body"), "exact-members")
     unlike = written(differing(spark.read.parquet(members)), "exact-differing")
     remove(spark, members)
 
-    by_digest = arrivals.join(groups, "digest").join(unlike, "digest", "left_anti")
+    by_digest = join_per_key(arrivals, groups, "digest", "copies").join(unlike, "digest", "left_anti")
     texts = rows.join(unlike, "digest", "left_semi")
     by_text = texts.join(
         texts.groupBy("digest", "body").agg(F.max("id").alias("keep"), F.count("*").alias("copies")), ["digest", "body"]
