@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslake.catalog import sqltext as q
 from newslake.functions.text import first_sentence
 from newslake.sources.store import spread
 
@@ -19,7 +20,7 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as articles; a quality label of 1 means the full text is known."""
+    """Documents as articles under their first sentence or line; a quality label of 1 means the full text is known."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     text = F.col("text")
     return (
@@ -27,7 +28,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(labels, "doc_id", "left")
         .select(
             F.col("doc_id").alias("id"),
-            F.trim(F.substring(text, 1, 60)).alias("title"),
+            first_sentence(text).alias("title"),
             F.concat(F.lit("https://news.example.com/"), "lang", F.lit("/"), F.md5(text)).alias("link"),
             "source",
             F.col("lang").alias("category"),
@@ -40,9 +41,9 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ARTICLES_SQL = """articles AS (
+ARTICLES_SQL = f"""articles AS (
   SELECT d.doc_id AS id,
-         trim(substr(d.text, 1, 60)) AS title,
+         {q.first_sentence('d.text')} AS title,
          concat('https://news.example.com/', d.lang, '/', md5(d.text)) AS link,
          d.source AS source, d.lang AS category,
          d.text AS content,
@@ -55,20 +56,12 @@ ARTICLES_SQL = """articles AS (
 CATEGORY_ORDER = ["en", "fr", "de", "es"]
 
 
-def arrivals_as_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles with their arrival number: category by category, then by id.
-
-    Titles are cut as in ``ARRIVALS_SQL``.
-    """
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with their arrival number: category by category, then by id."""
     place = F.array_position(F.array(*[F.lit(c) for c in CATEGORY_ORDER]), F.col("category"))
     return articles(spark, sf_dir).withColumn("seq", F.shiftleft(place, 40) + F.col("id"))
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same articles under their whole first sentence or line."""
-    return arrivals_as_in_sql(spark, sf_dir).withColumn("title", first_sentence("content"))
-
-
 ARRIVALS_SQL = (
     ARTICLES_SQL
     + """, arrivals AS (

@@ -16,6 +16,11 @@ def strip(x: str) -> str:
     return f"regexp_replace({x}, '^[{BLANK}]+|[{BLANK}]+$', '', 'g')"
 
 
+def first_sentence(x: str) -> str:
+    """The first sentence or line; the end mark stays, the blanks behind it and the rest go."""
+    return rf"regexp_replace({strip(x)}, '(?s)(?:([.!?])[{BLANK}]+|[{BLANK}]*[\r\n][{BLANK}]*).*$', '\1')"
+
+
 def collapse(x: str) -> str:
     return f"trim(regexp_replace({x}, '[{BLANK}]+', ' ', 'g'))"
 

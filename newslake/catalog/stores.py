@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from newslake.catalog import sqltext as q
 from newslake.catalog.base import query
-from newslake.catalog.fixtures import ARRIVALS_SQL, ARTICLES_SQL, arrivals, arrivals_as_in_sql, articles, table
+from newslake.catalog.fixtures import ARRIVALS_SQL, ARTICLES_SQL, arrivals, articles, table
+from newslake.functions.text import first_sentence
 from newslake.operators import dedup, merge, stats
 from newslake.plans import collect, migrate
 from newslake.sources import store
@@ -18,7 +19,7 @@ from newslake.sources import store
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY link ORDER BY seq) AS n FROM arrivals) WHERE n = 1""",
 )
 def dedup_url(spark, sf):
-    return dedup.first_by_link(arrivals_as_in_sql(spark, sf)).select("id")
+    return dedup.first_by_link(arrivals(spark, sf)).select("id")
 
 
 HASHED_SQL = f"hashed AS (SELECT *, {q.content_hash('title', 'content')} AS h FROM arrivals)"
@@ -30,7 +31,7 @@ HASHED_SQL = f"hashed AS (SELECT *, {q.content_hash('title', 'content')} AS h FR
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY h ORDER BY seq) AS n FROM hashed) WHERE n = 1""",
 )
 def dedup_hash(spark, sf):
-    return dedup.first_by_hash(arrivals_as_in_sql(spark, sf)).select("id")
+    return dedup.first_by_hash(arrivals(spark, sf)).select("id")
 
 
 @query(
@@ -40,7 +41,7 @@ def dedup_hash(spark, sf):
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY h ORDER BY seq) AS m FROM u) WHERE m = 1""",
 )
 def dedup_url_hash(spark, sf):
-    return dedup.deduplicate_by_link_and_hash(arrivals_as_in_sql(spark, sf)).select("id")
+    return dedup.deduplicate_by_link_and_hash(arrivals(spark, sf)).select("id")
 
 
 @query("dedup_articles")
@@ -56,14 +57,14 @@ def run_counters(spark, sf):
 
 # The store before a run: the first article of each link, with full text only where it is good.
 # The run brings every labelled document again, some under a new title, and the benchmark items.
-STORED_SQL = """stored AS (
+STORED_SQL = f"""stored AS (
   SELECT id, title, link, CAST(NULL AS VARCHAR) AS publish_date, source, category,
          CASE WHEN full_content_status = 'parse_error' THEN '' ELSE content END AS content,
          full_content, full_content_status
   FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY id) AS n FROM articles) WHERE n = 1
 ), incoming AS (
   SELECT d.doc_id AS seq,
-         CASE WHEN l.toxic = 1 THEN 'Update: ' || trim(substr(d.text, 1, 60)) ELSE '' END AS title,
+         CASE WHEN l.toxic = 1 THEN 'Update: ' || {q.first_sentence('d.text')} ELSE '' END AS title,
          concat('https://news.example.com/', d.lang, '/', md5(d.text)) AS link,
          '2024-02-01' AS publish_date, CASE WHEN l.quality = 1 THEN d.source END AS source, d.lang AS category,
          d.text AS content,
@@ -71,7 +72,7 @@ STORED_SQL = """stored AS (
          CASE WHEN l.toxic = 1 THEN 'paywall' WHEN l.quality = 0 THEN 'not_a_status' END AS full_content_status
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id
   UNION ALL
-  SELECT 1000000000 + item_id, trim(substr(text, 1, 40)), concat('https://news.example.com/benchmark/', md5(text)),
+  SELECT 1000000000 + item_id, {q.first_sentence('text')}, concat('https://news.example.com/benchmark/', md5(text)),
          NULL, 'benchmark', 'benchmark', text, text, NULL
   FROM benchmark
 )"""
@@ -99,7 +100,7 @@ def incoming(spark, sf):
     text = F.col("text")
     again = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
         F.col("doc_id").alias("seq"),
-        F.when(toxic, F.concat(F.lit("Update: "), F.trim(F.substring(text, 1, 60)))).otherwise(F.lit("")).alias("title"),
+        F.when(toxic, F.concat(F.lit("Update: "), first_sentence(text))).otherwise(F.lit("")).alias("title"),
         F.concat(F.lit("https://news.example.com/"), "lang", F.lit("/"), F.md5(text)).alias("link"),
         F.lit("2024-02-01").alias("publish_date"),
         F.when(good, F.col("source")).alias("source"),
@@ -110,7 +111,7 @@ def incoming(spark, sf):
     )
     new = table(spark, sf, "benchmark").select(
         (F.lit(1000000000) + F.col("item_id")).alias("seq"),
-        F.trim(F.substring(text, 1, 40)).alias("title"),
+        first_sentence(text).alias("title"),
         F.concat(F.lit("https://news.example.com/benchmark/"), F.md5(text)).alias("link"),
         F.lit(None).cast("string").alias("publish_date"),
         F.lit("benchmark").alias("source"),
@@ -313,13 +314,13 @@ def migrate_features(spark, sf):
 
 
 ENRICH_STORE_SQL = f"""WITH {ARTICLES_SQL}, {STORED_SQL}, ok AS (
-  SELECT d.doc_id AS seq, trim(substr(d.text, 1, 60)) AS title,
+  SELECT d.doc_id AS seq, {q.first_sentence('d.text')} AS title,
          concat('https://news.example.com/', d.lang, '/', md5(d.text)) AS link,
          {q.collapse('d.text')} AS content
   FROM documents d WHERE concat('https://news.example.com/', d.lang, '/', md5(d.text)) IN (
     SELECT concat('https://news.example.com/', x.lang, '/', md5(x.text))
     FROM documents x JOIN labels l ON x.doc_id = l.doc_id WHERE l.quality = 1)
-    AND {q.strip("trim(substr(d.text, 1, 60))")} <> ''
+    AND {q.first_sentence("d.text")} <> ''
 ), by_link AS (
   SELECT *, {q.content_hash('title', 'content')} AS h FROM (
     SELECT *, row_number() OVER (PARTITION BY link ORDER BY seq) AS n FROM ok WHERE content <> '') WHERE n = 1
