@@ -10,6 +10,7 @@ from newslake.catalog.fixtures import ARRIVALS_SQL, ARTICLES_SQL, arrivals, arti
 from newslake.functions.text import first_sentence
 from newslake.operators import dedup, merge, stats
 from newslake.plans import collect, migrate
+from newslake.session import work_dir
 from newslake.sources import store
 
 
@@ -164,10 +165,23 @@ UPSERT_SQL = f"""WITH {ARTICLES_SQL}, {STORED_SQL}, {FOLDED_SQL}, merged AS (
 )"""
 
 
+STORE_PARTS = 16
+
+
+def _with_flag(articles, merged):
+    """Stored articles with a flag for those that the merge has put in."""
+    new = merged.filter("inserted").select("link", "inserted")
+    return articles.join(new, "link", "left").withColumn("inserted", F.coalesce("inserted", F.lit(False)))
+
+
 @query("upsert_articles", f"{UPSERT_SQL} SELECT * FROM merged")
 def upsert_articles(spark, sf):
-    merged = merge.merge_articles(stored(spark, sf), incoming(spark, sf))
-    return merged.select(
+    """The whole store after its touched parts were replaced."""
+    articles = store.LinkStore(spark, work_dir(spark, "articles"), STORE_PARTS).create(stored(spark, sf))
+    merged = articles.merge(
+        incoming(spark, sf), lambda old, rows: merge.merge_articles(old, rows, articles.highest_id())
+    )
+    return _with_flag(articles.read(), merged).select(
         "id", "title", "link", "publish_date", "source", "category", "content", "full_content",
         "full_content_status", "inserted",
     )
@@ -298,8 +312,9 @@ MIGRATE_SQL = f"""WITH {ARTICLES_SQL}, {STORED_SQL}, legacy AS (
 @query("migrate_merge", f"{MIGRATE_SQL} SELECT * FROM merged")
 def migrate_merge(spark, sf):
     legacy = incoming(spark, sf).withColumn("id", F.col("seq") + 5000000).drop("seq")
-    merged = merge.migrate_articles(stored(spark, sf), legacy)
-    return merged.select("id", "title", "link", "source", "content", "full_content", "full_content_status", "inserted")
+    target = store.LinkStore(spark, work_dir(spark, "target"), STORE_PARTS).create(stored(spark, sf))
+    merged = target.merge(legacy, merge.migrate_articles)
+    return _with_flag(target.read(), merged).select("id", "title", "link", "source", "content", "full_content", "full_content_status", "inserted")
 
 
 @query(

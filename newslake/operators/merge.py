@@ -106,33 +106,34 @@ def _updated_rows(stored: DataFrame, folded: DataFrame) -> DataFrame:
     )
 
 
-def merge_articles(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+def merge_articles(stored: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
     """The store after ``incoming (seq, link, title, ...)`` was saved row by row.
 
     ``seq`` orders the rows; it is a number, or a struct of a batch and a number in it.
 
     Adds the flags ``inserted`` and ``updated``.  New links get the ids that follow
-    the highest stored one, in arrival order.
+    the highest stored one, in arrival order; where ``stored`` is a part of the store,
+    ``highest`` says which one that is.
     """
     folded = fold_incoming(incoming)
     known = stored.select("link").join(folded.select("link"), "link", "left_semi")
     fresh = _new_rows(folded.join(known, "link", "left_anti"))
-    numbered = assign_ids(fresh, stored)
+    numbered = assign_ids(fresh, stored, highest=highest)
     inserted = numbered.select("id", *STORED, F.lit(True).alias("inserted"), F.lit(False).alias("updated"))
     old = _updated_rows(stored, folded).select("id", *STORED, F.lit(False).alias("inserted"), "updated")
     return old.unionByName(inserted)
 
 
-def assign_ids(new_rows: DataFrame, stored: DataFrame, order: str = "seq") -> DataFrame:
+def assign_ids(new_rows: DataFrame, stored: DataFrame, order: str = "seq", highest: int | None = None) -> DataFrame:
     """Give new rows the ids after the highest stored id, in order."""
-    highest = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
+    above = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar() if highest is None else F.lit(highest)
     if isinstance(new_rows.schema[order].dataType, StructType):  # the batch, then the number in it
         batch, seq = (F.col(f"{order}.{f.name}") for f in new_rows.schema[order].dataType.fields)
         buckets = [batch, F.shiftright(seq, 20)]
     else:
         buckets = [F.shiftright(F.col(order).cast("long"), 20)]
     numbered = number_rows(new_rows, buckets, [order], "_n")
-    return numbered.withColumn("id", highest + F.col("_n")).drop("_n")
+    return numbered.withColumn("id", above + F.col("_n")).drop("_n")
 
 
 def mark_inserted(incoming: DataFrame, stored: DataFrame) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from newslake.functions.text import preferred_text
+from newslake.session import cut_lineage
 
 ARTICLE_COLUMNS = ["id", "title", "link", "publish_date", "source", "category", "content", "full_content"]
 
@@ -105,6 +109,73 @@ class ArticleLog:
         return merge_articles(stored, self.changes()).drop("inserted", "updated")
 
 
+class LinkStore:
+    """Articles in folders by a hash of their link, for stores too large to rewrite.
+
+    A merge finds the folders that its rows touch with a bitmap of their hashes, which is
+    a few KB whatever the rows, reads these alone, and replaces these alone.  Links are
+    spread evenly, and the store has one row of each.  The highest id is kept in a small
+    table beside, so that new ids need no look at the other folders.
+    """
+
+    PART = "_part"
+
+    def __init__(self, spark: SparkSession, path: str, parts: int = 256, schema: StructType | None = None):
+        if not 0 < parts <= 32768:
+            raise ValueError("a bitmap tells up to 32768 parts apart")
+        self.spark, self.path, self.parts = spark, path.rstrip("/"), parts
+        self.ids = f"{self.path}-ids"
+        self.schema = schema
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64("link"), F.lit(self.parts)).cast("int")
+
+    def _write(self, articles: DataFrame) -> None:
+        by_part = articles.withColumn(self.PART, self._part()).repartition(self.PART)
+        writer = by_part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.PART).parquet(self.path)
+        articles.agg(F.max("id").alias("id")).write.mode("append").parquet(self.ids)
+
+    def create(self, articles: DataFrame) -> LinkStore:
+        """Fill the store, which must be new."""
+        self.schema = articles.schema
+        self._write(articles)
+        return self
+
+    def read(self, parts: list[int] | None = None) -> DataFrame:
+        """All articles, or those of some parts."""
+        reader = self.spark.read
+        if self.schema is not None:  # else some file is opened for it
+            reader = reader.schema(StructType([*self.schema.fields, StructField(self.PART, IntegerType())]))
+        articles = reader.parquet(self.path)
+        if parts is not None:
+            articles = articles.filter(F.col(self.PART).isin(parts))
+        return articles.drop(self.PART)
+
+    def highest_id(self) -> int:
+        return self.spark.read.parquet(self.ids).agg(F.max("id")).first()[0] or 0
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """The parts that the links of some rows belong to."""
+        # The bit of a positive number n is n - 1.
+        position = F.bitmap_bit_position((self._part() + 1).cast("long"))
+        bits = bytes(rows.agg(F.bitmap_construct_agg(position)).first()[0])
+        return [part for part in range(self.parts) if bits[part >> 3] >> (part & 7) & 1]
+
+    def merge(self, rows: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """Replace the touched parts by ``how(their articles, rows)``; gives what was written.
+
+        Columns that the store lacks, such as flags, are given but not stored.  The result
+        is set down before anything is replaced, so a replacement that is cut short can be
+        made again from it.
+        """
+        parts = self.touched(rows)
+        old = self.read(parts)
+        merged = cut_lineage(how(old, rows))
+        self._write(merged.select(old.columns))
+        return merged
+
+
 def latest_processed_id(processed: DataFrame) -> DataFrame:
     """One row with the highest processed article id, 0 for an empty table."""
     return processed.agg(F.coalesce(F.max("article_id"), F.lit(0)).alias("latest_id"))

@@ -194,3 +194,39 @@ def test_backfill_limit_and_blank_text(spark):
     assert tuple(counts) == (3, 2, 1, 1)
     done = {r.id: r for r in enrich.apply_backfill(stored, updates).collect()}
     assert done[1].full_content_status == "success" and done[0].full_content is None
+
+
+def test_a_merge_reads_and_writes_touched_parts_only(spark, tmp_path):
+    from newslake.sources.store import LinkStore
+
+    names = ["title", "link", "publish_date", "source", "category", "content", "full_content", "full_content_status"]
+    schema = "id long, " + ", ".join(f"{c} string" for c in names)
+    rows = [(n, f"t{n}", f"l{n}", "", "s", "c", f"c{n}", None, None) for n in range(1, 201)]
+    store = LinkStore(spark, f"{tmp_path}/store", 64).create(spark.createDataFrame(rows, schema))
+    news = [(1, "new title", "l7"), (2, "fresh", "x1"), (3, "again", "l7"), (4, "fresh too", "x2")]
+    incoming = spark.createDataFrame(news, "seq long, title string, link string")
+    for c in names[2:]:
+        incoming = incoming.withColumn(c, F.lit(None).cast("string"))
+    expected = merge.merge_articles(spark.createDataFrame(rows, schema), incoming).drop("inserted", "updated")
+    expected = sorted(map(tuple, expected.select("id", "link", "title", "content").collect()))
+    parts = store.touched(incoming)
+    assert 2 <= len(parts) <= 3
+    # Nothing of the others may be read or written: their files are made unreadable, and stay as they are.
+    kept = {}
+    for path in (tmp_path / "store").glob("_part=*/*.parquet"):
+        if int(path.parent.name.split("=")[1]) not in parts:
+            kept[path] = path.read_bytes()
+            path.write_bytes(b"x" * len(kept[path]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = store.merge(incoming, lambda old, new: merge.merge_articles(old, new, store.highest_id()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert {r.link for r in merged.filter("inserted").collect()} == {"x1", "x2"}
+    for path, content in kept.items():
+        assert path.read_bytes() == b"x" * len(content)
+        (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+        path.write_bytes(content)
+    found = sorted(map(tuple, store.read().select("id", "link", "title", "content").collect()))
+    assert found == expected and store.highest_id() == 202
