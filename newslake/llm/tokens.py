@@ -29,6 +29,8 @@ from newslake.llm.common import map_batches, pick
 
 #: A cache of a task holds at most twice so many entries.
 CACHE_ENTRIES = 1 << 16
+#: The one for words and pieces holds more, as they recur slowly.
+WORD_ENTRIES = 1 << 18
 #: Rows that go out together.
 ROWS_OUT = 256
 #: Texts are split into pieces in blocks of about so many characters.
@@ -97,8 +99,7 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         self._build()
         self._length = [len(token) for token in self.bytes_of]
-        self._words = Recent()
-        self._pieces = Recent()
+        self._words = Recent(WORD_ENTRIES)
 
     def _build(self) -> None:
         for token, rank in sorted(self.ranks.items(), key=lambda x: (len(x[0]) > 1, x[1])):
@@ -151,7 +152,7 @@ class Encoder:
                 return True
 
     def _fits_memo(self, key: int) -> bool:
-        if len(self._fits) >= 4 * CACHE_ENTRIES:
+        if len(self._fits) >= 8 * CACHE_ENTRIES:
             self._fits.clear()
         known = self._fits[key] = self.fits(*divmod(key, len(self.bytes_of)))
         return known
@@ -160,12 +161,24 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        text, fits, vocabulary = piece.decode("latin-1"), self._fits, len(self.bytes_of)
+        # Most often the longest tokens, one behind the other, fit as they are.
+        out = [token for _, (token, _) in self.automaton.iter_long(text)]
+        before = out[0]
+        for token in out[1:]:
+            key = before * vocabulary + token
+            fit = fits.get(key)
+            if not (fit if fit is not None else self._fits_memo(key)):
+                break
+            before = token
+        else:
+            return out
         size = len(piece)
         longest = [-1] * size
-        for end, (token, length) in self.automaton.iter(piece.decode("latin-1")):
+        for end, (token, length) in self.automaton.iter(text):
             longest[end - length + 1] = token  # later matches are longer
         dead: set[int] = set()
-        length_of, shorter, fits, vocabulary = self._length, self.shorter, self._fits, len(self.bytes_of)
+        length_of, shorter = self._length, self.shorter
         token = longest[0]
         out = [token]  # the first token may follow nothing, so it always fits
         at = length_of[token]
@@ -195,23 +208,29 @@ class Encoder:
         return out
 
     def _word(self, word: str) -> bytes:
-        """The packed ids of a word with the white space before it."""
+        """The packed ids of a word with the white space before it, or of a single piece."""
         packed = self._words.recall(word)
         if packed is not None:
             return packed
-        pieces = self._pieces
-        out = []
-        for piece in self.pieces_of(word):
-            packed = pieces.get(piece) or pieces.recall(piece)
-            if packed is None:
-                packed = array("I", self.encode_piece(piece.encode())).tobytes()
-                pieces.keep(piece, packed)
-            out.append(packed)
-        packed = b"".join(out)
+        pieces = self.pieces_of(word)
+        if len(pieces) == 1:
+            packed = array("I", self.encode_piece(word.encode())).tobytes()
+        else:
+            known, piece_ids = self._words.get, self._piece
+            packed = b"".join([known(p) or piece_ids(p) for p in pieces])
         if len(word) <= 64:
             self._words.keep(word, packed)
         return packed
 
+    def _piece(self, piece: str) -> bytes:
+        """The packed ids of a piece, which is also a word of its own."""
+        packed = self._words.recall(piece)
+        if packed is None:
+            packed = array("I", self.encode_piece(piece.encode())).tobytes()
+            if len(piece) <= 64:
+                self._words.keep(piece, packed)
+        return packed
+
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
         known, word_ids, out = self._words.get, self._word, []
@@ -253,7 +272,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     ``ids`` holds the token ids as little-endian unsigned 32-bit integers, the form
     in which token files are written.  ``ranks_path`` is a rank file on the driver;
     it travels with the tasks (a vocabulary is a few MB at most).  ``pattern`` must
-    never let a piece go from a character that is no white space to one that is.
+    never let a piece go from a character that is no white space to one that is, nor cut
+    a piece that stands alone.
     There are no special tokens: their strings are ordinary text.
 
     A null text counts as empty and gives no tokens; a null id stays null; repeated
