@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def observe_messages(stream: DataFrame, name: str = "messages") -> DataFrame:
@@ -17,6 +17,16 @@ def observe_messages(stream: DataFrame, name: str = "messages") -> DataFrame:
     )
 
 
+def observed_totals(query: StreamingQuery, name: str = "messages") -> dict[str, int]:
+    """The observed counters of the batches that a query still remembers, added up."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(name)
+        for key, value in (row.asDict() if row is not None else {}).items():
+            totals[key] = totals.get(key, 0) + value
+    return totals
+
+
 class MetricsLog(StreamingQueryListener):
     """Adds up the observed counters of all batches."""
 

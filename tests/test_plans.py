@@ -121,3 +121,67 @@ def test_texts_are_tokenized_once(spark, sf):
 def test_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_figures_of_a_whole_run(spark, sf):
+    import json
+
+    from newslake.catalog.runs import feeds_by_source, registry_of
+    from newslake.catalog.streams import page_table
+    from tests.test_dedup import one_by_one
+
+    feeds = feeds_by_source(spark, sf)
+    items = collect.fetch_feeds(feeds, registry_of(feeds), deduplicate=False, skip_bozo=True).collect()
+    verdicts = one_by_one([r.asDict() for r in items])
+    kept = [r for r in items if verdicts[r.seq] is None]
+    totals = {r.category: 0 for r in feeds.select("category").distinct().collect()}
+    for r in kept:
+        totals[r.category] += 1
+    pages = {r.link for r in page_table(spark, sf).collect()}
+    got = QUERIES["collect_run"](spark, sf).first()
+    assert (got.total_articles, got.duplicates_removed) == (len(items), len(items) - len(kept))
+    assert got.bozo_skipped == feeds.filter(F.col("feed_url").endswith("/0")).count()
+    assert json.loads(got.category_totals) == totals and got.stored_articles == len(kept)
+    assert got.full_fetch_success + got.full_fetch_failed == len(kept)
+    assert got.full_fetch_success <= sum(r.link in pages for r in kept)
+    assert json.loads(got.backfill)
+
+
+def test_an_enriched_stream_takes_early_and_late_pages(spark, tmp_path):
+    from newslake.schemas import ITEM_MESSAGE
+    from newslake.sources.streams import read_files
+    from newslake.streaming.alerts import keep_state_on_disk
+    from newslake.streaming.enrich import enrich_as_pages_arrive
+
+    keep_state_on_disk(spark)
+    base = str(tmp_path)
+    schema = "link string, status int, html string, fetched_at string"
+
+    def at(minutes):
+        return f"2024-01-01T{10 + minutes // 60:02d}:{minutes % 60:02d}:00"
+
+    def message(n, link, minutes, title="t"):
+        values = {"id": f"m{n}", "title": title, "link": link, "fetched_at": at(minutes)}
+        return tuple(values.get(f, "") for f in ITEM_MESSAGE.fieldNames())
+
+    def page(link, minutes, status=200, text="text"):
+        return (link, status, f"<article>{text} of {link}</article>", at(minutes))
+
+    steps = [
+        ([message(1, "early", 30), message(2, "late", 30), message(3, "none", 30)], [page("early", 5)]),
+        ([message(4, "blocked", 40), message(5, "early", 50, title=" ")], [page("late", 80), page("blocked", 41, 403), page("early", 42, text="second")]),
+        ([message(6, "early", 45), message(7, "out", 60)], [page("out", 200)]),
+        ([message(8, "end", 700)], [page("other end", 700)]),
+    ]
+    for messages, pages in steps:
+        spark.createDataFrame(messages, ITEM_MESSAGE).coalesce(1).write.mode("append").parquet(f"{base}/m")
+        spark.createDataFrame(pages, schema).coalesce(1).write.mode("append").parquet(f"{base}/p")
+        joined = enrich_as_pages_arrive(
+            read_files(spark, f"{base}/m", ITEM_MESSAGE), read_files(spark, f"{base}/p", spark.createDataFrame([], schema).schema)
+        )
+        out = joined.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
+        out.trigger(availableNow=True).start().awaitTermination()
+    found = {r.id: r.full_content for r in spark.read.parquet(f"{base}/out").collect()}
+    assert found == {
+        "m1": "text of early", "m2": "text of late", "m3": None, "m4": None, "m5": None, "m6": "text of early", "m7": None,
+    }
