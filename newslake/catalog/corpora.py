@@ -123,6 +123,20 @@ def token_stats(spark, sf):
     return corpus.token_summary(counted, 20)
 
 
+@query(
+    "token_stats_by_language",
+    f"""SELECT lang, count(*) AS docs, count(*) FILTER (WHERE n >= 20) AS kept,
+           round(CAST(count(*) FILTER (WHERE n >= 20) AS DOUBLE) / count(*) * 100, 4) AS retention_pct,
+           CAST(sum(n) FILTER (WHERE n >= 20) AS BIGINT) AS total_tokens,
+           round(avg(n) FILTER (WHERE n >= 20), 4) AS mean_tokens, median(n) FILTER (WHERE n >= 20) AS median_tokens,
+           max(n) FILTER (WHERE n >= 20) AS max_tokens
+    FROM (SELECT lang, CAST(len({q.corpus_tokens('text')}) AS BIGINT) AS n FROM documents) GROUP BY lang""",
+)
+def token_stats_by_language(spark, sf):
+    counted = tokenized(spark, sf).select("lang", F.size("tokens").cast("long").alias("token_count"))
+    return corpus.token_summary(counted, 20, ["lang"])
+
+
 @query(
     "length_histogram",
     f"""WITH {COUNTED_SQL}, b AS (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from newslake.functions.text import (
     truncate,
 )
 from newslake.operators.compute import compute_once, explode_once
-from newslake.operators.ordering import number_sorted
+from newslake.operators.ordering import exact_medians, number_sorted
+from newslake.session import cut_lineage
 
 
 def token_counts(df: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
@@ -86,21 +89,25 @@ def shared_vocabulary(counts: DataFrame, known: DataFrame) -> DataFrame:
     return sums.withColumn("coverage_pct", F.round(F.col("known_vocab") / F.col("corpus_vocab") * 100, 4))
 
 
-def token_summary(counted: DataFrame, min_tokens: int = 1) -> DataFrame:
-    """Retention and token figures from one ``token_count`` per document.
+def token_summary(counted: DataFrame, min_tokens: int = 1, keys: Sequence[str] = ()) -> DataFrame:
+    """Retention and token figures from one ``token_count`` per document, over all or per key.
 
-    The median is read off the counts of equal values, which are few.
+    The counts are set down, as the median reads them again.
     """
+    counted = cut_lineage(counted.select(*keys, "token_count"))
     kept = F.col("token_count") >= min_tokens
-    return counted.agg(
+    figures = counted.groupBy(*keys).agg(
         F.count("*").alias("docs"),
         F.count_if(kept).alias("kept"),
         F.round(F.count_if(kept) / F.count("*") * 100, 4).alias("retention_pct"),
         F.sum(F.when(kept, F.col("token_count"))).alias("total_tokens"),
         F.round(F.avg(F.when(kept, F.col("token_count"))), 4).alias("mean_tokens"),
-        F.median(F.when(kept, F.col("token_count"))).alias("median_tokens"),
         F.max(F.when(kept, F.col("token_count"))).alias("max_tokens"),
     )
+    medians = exact_medians(counted.filter(kept), "token_count", keys, name="median_tokens")
+    if keys:
+        return figures.join(medians, list(keys), "left")
+    return figures.withColumn("median_tokens", medians.scalar())
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:

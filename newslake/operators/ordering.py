@@ -93,6 +93,27 @@ def running_totals(
     )
 
 
+def exact_medians(df: DataFrame, value: str, keys: Sequence[str] = (), width: int = 1000, name: str = "median") -> DataFrame:
+    """The median of a whole-numbered column per key, by counts of equal values.
+
+    Values are counted in map tasks, counts are summed up in ranges of ``width`` values and
+    from range to range, and the one or two values in the middle are picked.  No task
+    holds all values of a key.
+    """
+    named = df.filter(F.col(value).isNotNull()).withColumn("_all", F.lit(0))
+    group = [*keys, "_all"]
+    counts = named.groupBy(*group, value).agg(F.count("*").alias("_n"))
+    upto = running_totals(counts, F.floor(F.col(value) / width), value, {"_upto": "_n"}, group)
+    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total"))
+
+    def holds(place: Column) -> Column:
+        return F.max(F.when((F.col("_upto") >= place) & (F.col("_upto") - F.col("_n") < place), F.col(value)))
+
+    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
+    middle = (holds(lower) + holds(upper)) / 2
+    return upto.join(totals, group).groupBy(*group).agg(middle.alias(name)).drop("_all")
+
+
 def with_previous(
     df: DataFrame, coarse: Column, order: str, columns: dict[str, str], keys: Sequence[str] = ()
 ) -> DataFrame:

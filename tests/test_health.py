@@ -86,6 +86,22 @@ def test_frames_of_one_series_in_many_ranges(spark):
             assert (r[f"{name}_first"], r[f"{name}_last"]) == ends[0]
 
 
+def test_medians_of_a_hot_key(spark):
+    from statistics import median
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", None]), rng.choice([None, -5, rng.randrange(9000), 7])) for _ in range(3000)]
+    rows += [("one", 4), ("two", 4), ("two", 5), ("none", None)]
+    frame = spark.createDataFrame(rows, "k string, v long").withColumn("k", F.coalesce("k", F.lit("-")))
+    got = {r.k: r.m for r in ordering.exact_medians(frame, "v", ["k"], width=10, name="m").collect()}
+    values = {}
+    for k, v in rows:
+        if v is not None:
+            values.setdefault(k or "-", []).append(v)
+    assert got == {k: median(v) for k, v in values.items()}
+    assert ordering.exact_medians(frame, "v").first()[0] == median([v for _, v in rows if v is not None])
+
+
 def test_alert_rules(spark):
     row = (datetime(2024, 1, 1), 10, 4, 40.0, False, 1, 3, 0.0, 0.25)
     frame = spark.createDataFrame([row], f"{SCHEMA}, recent_growth long, error_rate double, error_rate_now double")
