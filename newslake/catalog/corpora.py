@@ -9,6 +9,7 @@ from newslake.catalog.base import query
 from newslake.catalog.fixtures import ARTICLES_SQL, table, texts
 from newslake.functions import text as t
 from newslake.operators import corpus, features, filters, sequences, stats
+from newslake.session import work_dir
 
 WORDS_SQL = f"""words AS (
   SELECT doc_id, lang, unnest({q.corpus_tokens('text')}) AS word FROM documents
@@ -55,6 +56,41 @@ def vocab_ttr_approximate(spark, sf):
     )
 
 
+@query(
+    "vocab_sketches",
+    f"""SELECT lang, count(DISTINCT word) AS vocab_size, true AS within_three_errors
+    FROM (SELECT lang, unnest({q.corpus_tokens('text')}) AS word FROM documents) GROUP BY lang""",
+)
+def vocab_sketches(spark, sf):
+    """Sketches of the words of every hundred documents, stored, and united to the vocabulary of each language."""
+    path = work_dir(spark, "sketches")
+    words = tokenized(spark, sf).select("lang", F.floor(F.col("doc_id") / 100).alias("part"), F.explode("tokens").alias("word"))
+    corpus.distinct_sketches(words, ["lang", "part"], "word").write.partitionBy("part").parquet(path)
+    stored = spark.read.schema("lang string, sketch binary, part long").parquet(path)
+    about = corpus.united_counts(stored, ["lang"], "estimate")
+    exact = words.select("lang", "word").distinct().groupBy("lang").agg(F.count("*").alias("vocab_size"))
+    near = F.abs(F.col("estimate") - F.col("vocab_size")) <= 3 * corpus.SKETCH_ERROR * F.col("vocab_size")
+    return exact.join(about, "lang").select("lang", "vocab_size", near.alias("within_three_errors"))
+
+
+@query(
+    "users_by_week",
+    """SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS week, count(DISTINCT user_id) AS users,
+              true AS within_three_errors FROM events GROUP BY ALL""",
+)
+def users_by_week(spark, sf):
+    """Sketches of the users of each day and type, stored, and united to weeks; held against exact counts."""
+    path = work_dir(spark, "daily")
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    corpus.distinct_sketches(events, ["event_type", "day"], "user_id").write.parquet(path)
+    stored = spark.read.schema("event_type string, day date, sketch binary").parquet(path)
+    week = F.to_date(F.date_trunc("week", "day")).alias("week")
+    about = corpus.united_counts(stored.select("event_type", week, "sketch"), ["event_type", "week"], "estimate")
+    exact = events.select("event_type", week, "user_id").distinct().groupBy("event_type", "week").agg(F.count("user_id").alias("users"))
+    near = F.abs(F.col("estimate") - F.col("users")) <= 3 * corpus.SKETCH_ERROR * F.col("users")
+    return exact.join(about, ["event_type", "week"]).select("event_type", "week", "users", near.alias("within_three_errors"))
+
+
 @query(
     "zipf",
     f"""WITH {WORDS_SQL}

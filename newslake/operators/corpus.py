@@ -44,6 +44,24 @@ def approximate_vocabulary_size(df: DataFrame, tokens: str = "tokens", error: fl
     )
 
 
+#: Sketches of 2 ** PRECISION registers; their standard error.
+PRECISION, SKETCH_ERROR = 12, 0.0163
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """``(*keys, sketch)``: what is needed to count the distinct values of each key, and of any keys together.
+
+    A sketch is a few KB whatever it has seen.  Stored by day or batch, sketches are
+    united later without a look at the rows again.
+    """
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column, PRECISION).alias("sketch"))
+
+
+def united_counts(sketches: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+    """About how many distinct values the sketches of each key have seen together."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+
+
 def tokenizers(c: Column | str) -> dict[str, Column]:
     """Named ways to split a text into words."""
     c = F.col(c) if isinstance(c, str) else c
