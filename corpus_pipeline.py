@@ -1,7 +1,9 @@
 """The training-data pipeline: stages over documents, each written and read again.
 
 A stage takes ``(spark, docs, sf_dir)``, works on all that the one before it kept, and
-returns the columns of its input; the last one returns token ids.
+returns the columns of its input; the last one returns token ids.  Null texts count as
+empty, texts of any length are read whole, extra columns are carried along whatever
+their names, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -14,22 +16,34 @@ from newslake.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic; the model learns from the labelled ones among them."""
+    """Documents that are not toxic; the model learns from the labelled ones among them.
+
+    Empty texts have a score like any other; repeated rows and rows without an id are judged one by one.
+    """
     return toxicity.keep(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text, empty ones included: that with the largest id.
+
+    Rows that repeat an id and its text become one; a row without an id stays if its text has no other.
+    """
     return exact.keep(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: that with the smallest id.
+
+    Texts without words are in no group and all stay.
+    """
     return minhash.keep(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, those of small sources more often, in mixed blocks."""
+    """Every document at least once, those of small sources more often, in mixed blocks.
+
+    Rows without a source are a source of their own; rows that repeat an id are dealt one by one.
+    """
     return mixing.dealt(docs)
 
 
