@@ -317,7 +317,7 @@ def tfidf_hashed(spark, sf):
     from newslake.functions.vectors import to_list
 
     source = processing_texts(spark, sf)
-    rows = features.extract_features(source, features.fit_features(source), processed_at=F.lit(0).cast("timestamp"))
+    rows = features.fit_and_extract(source, processed_at=F.lit(0).cast("timestamp"))[0]
     values = to_list("features")
     return rows.select(
         "article_id",
@@ -339,7 +339,7 @@ def tfidf_hashed(spark, sf):
 )
 def feature_token_counts(spark, sf):
     source = processing_texts(spark, sf)
-    rows = features.extract_features(source, features.fit_features(source, num_features=64))
+    rows = features.fit_and_extract(source, num_features=64)[0]
     return rows.select("article_id", "token_count")
 
 

@@ -11,6 +11,7 @@ from newslake.functions.text import normalize_for_ml
 from newslake.operators.compute import compute_once, explode_once
 from newslake.operators.filters import MIN_FEATURE_LENGTH
 from newslake.operators.ordering import join_per_key, top_per_key
+from newslake.session import cut_lineage
 
 # Width of the hashed vector and the version written beside it.
 NUM_FEATURES = 4096
@@ -101,9 +102,32 @@ def extract_features(
 
     The vector stays sparse; rows without a token are left out.
     """
-    transformed = model.transform(normalized(articles)).select("article_id", "tokens", "features")
-    rows = compute_once(transformed, tokens=F.col("tokens")).filter(F.size("tokens") > 0)
-    return rows.select(
+    return _feature_rows(model.transform(normalized(articles)), version, processed_at)
+
+
+def fit_and_extract(
+    articles: DataFrame,
+    num_features: int = NUM_FEATURES,
+    unicode: bool = False,
+    version: str = VERSION,
+    processed_at=None,
+) -> tuple[DataFrame, PipelineModel]:
+    """Rows as of :func:`extract_features` under a model fitted on the same articles, and the model.
+
+    Texts are tokenised and counted once; the fit and the rows both read what was set down.
+    """
+    *before, idf = feature_pipeline(num_features, unicode).getStages()
+    counted = normalized(articles)
+    for stage in before:
+        counted = stage.transform(counted)
+    counted = cut_lineage(counted.select("article_id", "tokens", idf.getInputCol()))
+    fitted = idf.fit(counted)
+    return _feature_rows(fitted.transform(counted), version, processed_at), PipelineModel([*before, fitted])
+
+
+def _feature_rows(transformed: DataFrame, version: str, processed_at) -> DataFrame:
+    rows = compute_once(transformed.select("article_id", "tokens", "features"), tokens=F.col("tokens"))
+    return rows.filter(F.size("tokens") > 0).select(
         "article_id",
         F.size("tokens").alias("token_count"),
         "tokens",

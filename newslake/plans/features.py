@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from newslake.operators.features import extract_features, fit_features
+from newslake.operators.features import extract_features, fit_and_extract
 from newslake.sources.store import articles_for_processing
 from newslake.operators.filters import MIN_FEATURE_LENGTH
 
@@ -24,5 +24,6 @@ def process_articles(
     so that later runs weigh terms the same way.
     """
     texts = articles_for_processing(articles, since_id, limit, MIN_FEATURE_LENGTH, prefer_full_content)
-    model = model or fit_features(texts)
+    if model is None:
+        return fit_and_extract(texts, **options)
     return extract_features(texts, model, **options), model
