@@ -35,3 +35,15 @@ def test_contract(spark):
     flagship = entry_module.entry(spark)
     assert flagship.columns == ["lang", "term", "tf", "df", "score"]
     assert flagship.count() > 0
+
+
+@pytest.mark.parametrize("missing", ["ahocorasick", "newslake.llm", "corpus_pipeline"])
+def test_other_queries_stay_without_the_operators(missing):
+    import subprocess
+
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; names = set(e.queries()); "
+        "assert 'dedup_url' in names and 'pipeline' not in names and not any(n.startswith('op1') for n in names)"
+    )
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
