@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from newslake.catalog import QUERIES
 from newslake.schemas import ITEM_MESSAGE
 from newslake.sources.store import ArticleLog
 from newslake.sources.streams import keyed_json, read_files, read_timer, scheduled
@@ -156,3 +157,17 @@ def test_timer_and_json_sink(spark, tmp_path):
     assert read_timer(spark, 5).isStreaming
     frame = spark.createDataFrame([("l", None)], "link string, title string")
     assert keyed_json(frame).first().value == '{"link":"l","title":null}'
+
+
+def folder_of_tables(spark, sf, tmp_path, names, parts=3):
+    """Tables as folders of several files."""
+    for name in names:
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(parts).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_tables_in_folders_arrive_whole(spark, sf, tmp_path):
+    folder = folder_of_tables(spark, sf, tmp_path, ["documents", "labels", "conversations"])
+    for name in ("stream_messages", "stream_metrics", "stream_features", "stream_enrich", "stream_alerts", "stream_store"):
+        found, wanted = (sorted(map(str, QUERIES[name](spark, d).collect())) for d in (folder, sf))
+        assert found == wanted and len(found) > 0, name
