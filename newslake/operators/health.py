@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newslake.operators.compute import explode_once
 from newslake.operators.ordering import first_per_key, trailing_frames, with_previous
-from newslake.session import cut_lineage
+from newslake.session import work_dir
 
 HOUR, DAY = 3600, 86400
 # History kept, alert thresholds, pause between equal alerts.
@@ -19,6 +21,8 @@ MIN_COVERAGE = 50.0
 MIN_GROWTH = 10
 MAX_ERROR_RATE = 0.1
 COOLDOWN = 1800
+# Times that one task follows at once.
+RANGE = 1 << 18
 
 
 def with_history(checks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -108,52 +112,115 @@ def alerts(
     return broken.select(*keep, "timestamp", "a.alert_type", "a.message")
 
 
-def _next_times(times: DataFrame, pause: int) -> DataFrame:
-    """``(key, at, to)``: for each time of a key the first one at least a pause later.
+def _follow(at: np.ndarray, starts: np.ndarray, first: list[int], pause: int) -> list[int]:
+    """Places of the times that are sent, by chains that start at the places ``first``.
 
-    Times and the ends of their pauses are sorted together into ranges of even size,
-    whatever share of them a key has.  Only the first time of each key in a range is
-    carried to the ranges before.
+    ``at`` holds the times of several keys, each sorted; ``starts`` marks the first time of each.
+    Gaps count for a pause at most, and so does the gap between two keys: then one sorted
+    scale holds all times, and the first one a pause later is where it was.
     """
-    ends = times.select("key", (F.col("at") + pause).alias("at"), F.lit(0).alias("kind"), F.col("at").alias("since"))
-    both = ends.unionByName(times.select("key", "at", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("since")))
-    ranged = cut_lineage(both.repartitionByRange("key", "at", "kind").withColumn("range", F.spark_partition_id()))
-    raised = F.when(F.col("kind") == 1, F.col("at"))
-    firsts = ranged.groupBy("key", "range").agg(F.min(raised).alias("first"))
-    behind = W.partitionBy("key").orderBy("range").rowsBetween(1, W.unboundedFollowing)
-    carried = firsts.select("key", "range", F.min("first").over(behind).alias("later"))
-    inside = W.partitionBy("key", "range").orderBy("at", "kind").rowsBetween(0, W.unboundedFollowing)
-    found = ranged.withColumn("here", F.first(raised, ignorenulls=True).over(inside)).filter("kind = 0")
-    joined = found.join(carried, ["key", "range"])
-    return joined.select("key", F.col("since").alias("at"), F.coalesce("here", "later").alias("to")).filter("to IS NOT NULL")
+    gaps = np.diff(at, prepend=at[:1])
+    gaps = np.where(starts, pause, np.minimum(gaps, pause))
+    scale = np.cumsum(gaps)
+    later = np.searchsorted(scale, scale + pause).tolist()
+    ends = np.append(np.flatnonzero(starts), len(at))
+    sent = []
+    for place in first:
+        end = int(ends[np.searchsorted(ends, place, side="right")])
+        while place < end:
+            sent.append(place)
+            place = later[place]
+    return sent
+
+
+def _send_in_ranges(rows: DataFrame, entries: dict[int, int | None], whole: bool, pause: int) -> DataFrame:
+    """What is sent in the ranges ``entries``; their numbers are the keys.
+
+    A value is the time from which on the first key of a range, which goes on from the
+    range before, may send again.  With ``whole`` the other keys are worked on as well, and
+    a first key that goes on without a known time waits.
+    """
+
+    def choose(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["key", "at"], ignore_index=True)
+        number = int(part["range"].iloc[0])
+        keys, at = part["key"].to_numpy(dtype=object), part["at"].to_numpy()
+        starts = np.append(True, keys[1:] != keys[:-1])
+        own = np.flatnonzero(starts).tolist()
+        first = own[1:] if whole else []
+        if number not in entries:
+            first = own
+        elif entries[number] is not None:
+            head = own[1] if len(own) > 1 else len(at)
+            place = int(np.searchsorted(at[:head], entries[number]))
+            first = [*([place] if place < head else []), *first]
+        return part.iloc[_follow(at, starts, first, pause)][["range", "key", "at"]]
+
+    return rows.groupBy("range").applyInPandas(choose, "range int, key string, at long")
+
+
+def _sent_times(times: DataFrame, pause: int) -> DataFrame:
+    """``(key, at)`` of the alerts that are sent, of distinct ``(key, at)``.
+
+    The times are sorted into ranges of bounded size.  A key that starts in a range is
+    followed there at once; one that goes on from the range before waits until that one's
+    last sent time is known, and reads its own ranges only.  So every range is read at
+    most twice, all keys go on side by side, and there are as many rounds as ranges that
+    the key with the most times covers.
+    """
+    spark = times.sparkSession
+    folder = work_dir(spark, "cooldown")
+    parts = max(1, -(-times.count() // RANGE))
+    ranged = times.repartitionByRange(parts, "key", "at").withColumn("range", F.spark_partition_id())
+    ranged.write.partitionBy("range").parquet(f"{folder}/times")
+    stored = spark.read.schema("key string, at long, range int").parquet(f"{folder}/times")
+    edges = stored.groupBy("range").agg(F.min("key").alias("head"), F.max("key").alias("tail")).orderBy("range").collect()
+    # Per range one row: which key leads in, which one leads out.
+    goes_on = {b.range: a.range for a, b in zip(edges, edges[1:], strict=False) if a.tail == b.head}
+    single = {e.range for e in edges if e.head == e.tail}
+    last: dict[int, int] = {}
+    rounds = 0
+
+    def run(entries: dict[int, int | None], whole: bool) -> None:
+        nonlocal rounds
+        rows = stored if whole else stored.filter(F.col("range").isin(list(entries)))
+        out = f"{folder}/sent/round={rounds}"
+        _send_in_ranges(rows, entries, whole, pause).write.parquet(out)
+        rounds += 1
+        found = spark.read.schema("range int, key string, at long").parquet(out)
+        if goes_on:
+            ends = found.groupBy("range").agg(F.max_by("at", F.struct("key", "at")).alias("at"), F.max("key").alias("key"))
+            tails = {e.range: e.tail for e in edges}
+            last.update({r.range: r.at for r in ends.collect() if r.key == tails[r.range]})
+
+    run(dict.fromkeys(goes_on), True)
+    # Ranges that hold nothing but the end of a key wait for the one before.
+    settled = {e.range for e in edges if e.range not in goes_on or e.range not in single}
+    waiting = dict(goes_on)
+    while waiting:
+        ready = {r: before for r, before in waiting.items() if before in settled}
+        run({r: last[before] + pause for r, before in ready.items()}, False)
+        for r, before in ready.items():
+            del waiting[r]
+            settled.add(r)
+            if r in single:
+                last.setdefault(r, last[before])
+    return spark.read.schema("key string, at long").parquet(f"{folder}/sent/round=*")
 
 
 def cool_down(raised: DataFrame, seconds: int = COOLDOWN, keys: Sequence[str] = ("alert_type",)) -> DataFrame:
     """Alerts that are sent: none within the pause after the last one *sent* of its type.
 
-    Whether an alert is sent hangs on the whole chain before it.  Every time points to the
-    first one at least a pause later, and what is sent is what the first time of its type
-    leads to.  In each round all pointers become twice as long and what is reached jumps
-    once, so a chain takes as many joins as the logarithm of its length.  Pointers flow
-    together, so only those that something may still jump to are kept; their number
-    falls about by half in every round.  No group holds a type or a day.
+    Whether an alert is sent hangs on the whole chain before it.  Times are sorted into
+    ranges of bounded size that are followed one after the other for one type, and side by
+    side for several.  No group holds a type or a day.
     """
     at = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    timed = raised.withColumn("_key", F.struct(*keys)).withColumn("_at", at)
+    timed = raised.withColumn("_key", F.to_json(F.struct(*keys))).withColumn("_at", at)
     times = timed.select(F.col("_key").alias("key"), F.col("_at").alias("at")).filter("at IS NOT NULL").distinct()
-    jumps = cut_lineage(_next_times(times, seconds * 1_000_000))
-    reached = cut_lineage(times.groupBy("key").agg(F.min("at").alias("at")))
-    count, before = reached.count(), -1
-    while count != before:
-        landed = reached.join(jumps, ["key", "at"]).select("key", F.col("to").alias("at"))
-        reached = cut_lineage(reached.unionByName(landed).distinct())
-        onward = jumps.select("key", F.col("at").alias("to"), F.col("to").alias("far"))
-        longer = jumps.join(onward, ["key", "to"]).select("key", "at", F.col("far").alias("to"))
-        useful = reached.unionByName(jumps.select("key", F.col("to").alias("at"))).distinct()
-        jumps = cut_lineage(longer.join(useful, ["key", "at"], "left_semi"))
-        count, before = reached.count(), count
+    sent = _sent_times(times, seconds * 1_000_000)
     one_each = first_per_key(timed, ["_key", "_at"], raised.columns)
-    return one_each.join(reached.toDF("_key", "_at"), ["_key", "_at"], "left_semi").select(raised.columns)
+    return one_each.join(sent.toDF("_key", "_at"), ["_key", "_at"], "left_semi").select(raised.columns)
 
 
 def day_of(ts: str = "timestamp") -> Column:

@@ -151,6 +151,30 @@ def test_cool_down_with_one_type_bursts_and_missing_values(spark):
     assert health.cool_down(frame.limit(0), 60).count() == 0
 
 
+def test_cool_down_over_many_ranges(spark, monkeypatch):
+    """Chains that pass through several ranges, and pauses longer than a range."""
+    rng = random.Random(3)
+    start = datetime(2024, 1, 1)
+    rows = {(start + timedelta(seconds=rng.randrange(40_000)), rng.choice("aaaaab")) for _ in range(3000)}
+    rows |= {(start + timedelta(seconds=n), f"k{n % 200}") for n in range(400)}
+    frame = spark.createDataFrame(list(rows), "timestamp timestamp, alert_type string").coalesce(2)
+    monkeypatch.setattr(health, "RANGE", 400)
+    for pause in (7, 9000):
+        got = sorted((r.timestamp, r.alert_type) for r in health.cool_down(frame, pause).collect())
+        assert got == sorted(sent_by_loop(rows, pause))
+
+
+def test_cool_down_takes_no_more_jobs_for_longer_chains(spark):
+    counts = []
+    for n in (10, 3000):
+        times = spark.range(n).select(F.timestamp_seconds("id").alias("timestamp"), F.lit("a").alias("alert_type"))
+        spark.sparkContext.setJobGroup(f"cool-down-{n}", "")
+        assert health.cool_down(times, 1).count() == n
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cool-down-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1]
+
+
 def test_labels(spark):
     frame = spark.createDataFrame([(75.1,), (75.0,), (50.1,), (50.0,)], "s double")
     assert [r[0] for r in frame.select(health.health_label("s")).collect()] == ["HEALTHY", "WARNING", "WARNING", "CRITICAL"]
