@@ -37,13 +37,13 @@ def register(spark: SparkSession) -> None:
     known)`` and the table function ``chunk_text(text, max_chars, overlap)``.
     """
 
-    @F.pandas_udf(StringType())
-    def clean_html(html: pd.Series) -> pd.Series:
-        return html.map(text_of, na_action=None)
+    @F.udf(StringType(), useArrow=False)
+    def clean_html(html: str | None) -> str:
+        return text_of(html)
 
-    @F.pandas_udf(StringType())
-    def extract_main_content(html: pd.Series) -> pd.Series:
-        return html.map(main_text_of, na_action=None)
+    @F.udf(StringType(), useArrow=False)
+    def extract_main_content(html: str | None) -> str:
+        return main_text_of(html)
 
     @F.pandas_udf(DoubleType())
     def title_similarity(new: pd.Series, known: pd.Series) -> pd.Series:

@@ -213,3 +213,11 @@ def test_vector_functions(spark):
     )
     assert pooled == [[2.0, 3.0], [0.0, 0.0]]
     assert values(spark, [([1.0, 5.0, 5.0],)], vectors.argmax("s"), schema="s array<double>") == [1]
+
+
+def test_html_is_read_in_small_batches(spark):
+    """A worker must not hold thousands of pages: no Arrow batches, whatever the session says."""
+    pages = spark.createDataFrame([("<p>a</p>",), (None,)], "html string").withColumn("n", F.lit(1)).repartition(2)
+    read = pages.select(html.clean_html("html").alias("a"), html.extract_main_content("html").alias("b"))
+    assert "ArrowEvalPython" not in read._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.a, r.b) for r in read.collect()) == [("", ""), ("a", "a")]
