@@ -99,6 +99,21 @@ def test_document_vectors(spark):
     assert np.isclose(np.linalg.norm(unit[1]), 1) and unit[2] == [0.0, 0.0]
 
 
+def test_document_vectors_of_rare_words_and_what_is_shuffled(spark):
+    rng = np.random.default_rng(1)
+    rows = [(d, [f"w{min(rng.geometric(0.2), 30)}" for _ in range(rng.integers(0, 40))]) for d in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    table_of = {f"w{n}": rng.normal(size=3).tolist() for n in range(1, 25)}
+    words = spark.createDataFrame(list(table_of.items()), "word string, vector array<double>")
+    expected = [np.mean([table_of[w] for w in ws if w in table_of] or [[0.0] * 3], axis=0) for _, ws in rows]
+    for frequent in (100, 4):
+        found = vectors.document_vectors(docs, words, 3, frequent=frequent)
+        assert np.allclose([r.vector for r in found.orderBy("doc_id").collect()], expected)
+    # Words meet their vectors where the documents lie; sums are no objects that are sorted and spilled.
+    plan = vectors.document_vectors(docs, words, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "hashpartitioning(word" not in plan
+
+
 def test_embedding(spark):
     docs = spark.createDataFrame([(n, f"word{n} common text") for n in range(50)] + [(50, None)], "doc_id long, text string")
     for pooling in ("mean", "cls"):
