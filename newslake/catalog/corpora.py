@@ -65,8 +65,9 @@ def vocab_sketches(spark, sf):
     """Sketches of the words of every hundred documents, stored, and united to the vocabulary of each language."""
     path = work_dir(spark, "sketches")
     words = tokenized(spark, sf).select("lang", F.floor(F.col("doc_id") / 100).alias("part"), F.explode("tokens").alias("word"))
-    corpus.distinct_sketches(words, ["lang", "part"], "word").write.partitionBy("part").parquet(path)
-    stored = spark.read.schema("lang string, sketch binary, part long").parquet(path)
+    # The part is a column: a folder for each would be a file for every hundred documents and task.
+    corpus.distinct_sketches(words, ["lang", "part"], "word").write.parquet(path)
+    stored = spark.read.schema("lang string, part long, sketch binary").parquet(path)
     about = corpus.united_counts(stored, ["lang"], "estimate")
     exact = words.select("lang", "word").distinct().groupBy("lang").agg(F.count("*").alias("vocab_size"))
     near = F.abs(F.col("estimate") - F.col("vocab_size")) <= 3 * corpus.SKETCH_ERROR * F.col("vocab_size")

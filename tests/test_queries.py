@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry_module  # noqa: E402
-from newslake.catalog import QUERIES, SQL  # noqa: E402
+from newslake.catalog import QUERIES, SQL, corpora  # noqa: E402
 from tools.check_queries import TABLES, compare  # noqa: E402
 
 
@@ -47,3 +47,10 @@ def test_other_queries_stay_without_the_operators(missing):
     )
     root = Path(__file__).resolve().parents[1]
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
+def test_sketches_are_stored_in_few_files(spark, sf, tmp_path, monkeypatch):
+    """Not in a folder for every hundred documents."""
+    monkeypatch.setattr(corpora, "work_dir", lambda spark, name: str(tmp_path / name))
+    assert QUERIES["vocab_sketches"](spark, sf).count() > 0
+    assert not [p for p in (tmp_path / "sketches").iterdir() if p.is_dir()]
