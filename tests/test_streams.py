@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from newslake.catalog import QUERIES
+from newslake.catalog.streams import in_parts
 from newslake.schemas import ITEM_MESSAGE
 from newslake.sources.store import ArticleLog
 from newslake.sources.streams import keyed_json, read_files, read_timer, scheduled
@@ -171,3 +172,18 @@ def test_tables_in_folders_arrive_whole(spark, sf, tmp_path):
     for name in ("stream_messages", "stream_metrics", "stream_features", "stream_enrich", "stream_alerts", "stream_store"):
         found, wanted = (sorted(map(str, QUERIES[name](spark, d).collect())) for d in (folder, sf))
         assert found == wanted and len(found) > 0, name
+
+
+def test_streams_in_parts_keep_few_state_stores(spark, tmp_path):
+    """Each store commits in every micro-batch; two for a core are enough, and the session's number comes back."""
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    try:
+        for wanted in ("400", "3"):
+            spark.conf.set("spark.sql.shuffle.partitions", wanted)
+            folder = str(tmp_path / wanted)
+            in_parts([(folder, spark.range(20), F.col("id"))], lambda: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+            assert spark.conf.get("spark.sql.shuffle.partitions") == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", given)
+    assert seen == [2 * spark.sparkContext.defaultParallelism] * 5 + [3] * 5
