@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from newslake.llm import exact, minhash, mixing, tokens, toxicity
-from newslake.llm.common import table, written
+from newslake.llm.common import small_batches, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Empty texts have a score like any other; repeated rows and rows without an id are judged one by one.
     """
-    return toxicity.keep(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    # Written here, as the size of the batches holds for what runs now.
+    with small_batches(spark):
+        return written(toxicity.keep(docs, model), "pipeline-clean")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +72,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """What runs in here sends Python at most so many rows at once, as whole texts are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = spark.conf.get(name)
+    # Zero and below stand for no limit.
+    spark.conf.set(name, str(rows if int(given) <= 0 else min(rows, int(given))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``write`` that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
