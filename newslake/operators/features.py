@@ -11,7 +11,7 @@ from newslake.functions.text import normalize_for_ml
 from newslake.operators.compute import compute_once, explode_once
 from newslake.operators.filters import MIN_FEATURE_LENGTH
 from newslake.operators.ordering import join_per_key, top_per_key
-from newslake.session import cut_lineage
+from newslake.session import cut_lineage, set_down
 
 # Width of the hashed vector and the version written beside it.
 NUM_FEATURES = 4096
@@ -33,9 +33,13 @@ def _idf(docs: int | object, df: str = "df"):
 
 
 def tf_idf(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """``(key, term, tf, df, idf, tf_idf)`` with idf = ln((N + 1) / (df + 1))."""
+    """``(key, term, tf, df, idf, tf_idf)`` with idf = ln((N + 1) / (df + 1)).
+
+    The term frequencies are set down: the counts of documents, their sum and the weights
+    read different columns of them, and would each have the tokens made anew.
+    """
     total = docs.agg(F.count("*").alias("n")).scalar()
-    tf = term_frequencies(docs, key, tokens)
+    tf = set_down(term_frequencies(docs, key, tokens), "term-frequencies")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     weighted = join_per_key(tf, df, "term", "df").withColumn("idf", _idf(total))
     return weighted.select(key, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
