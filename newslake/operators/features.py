@@ -51,7 +51,8 @@ def top_terms_by_group(docs: DataFrame, group: str, tokens: str = "tokens", k: i
     The weight of a term is the same in all documents, so the documents are never
     brought together again: one shuffle of ``(group, term)`` counts, added up in
     the map tasks, carries everything.  Each token counts for the term frequency,
-    each distinct token of a document once more for the document frequency.
+    each distinct token of a document once more for the document frequency.  The sums
+    are set down, as their sums over all groups are joined to them.
     """
     total = docs.agg(F.count("*").alias("n")).scalar()
 
@@ -61,7 +62,8 @@ def top_terms_by_group(docs: DataFrame, group: str, tokens: str = "tokens", k: i
     made = compute_once(docs, _tokens=F.col(tokens))
     listed = F.concat(marked(F.col("_tokens"), 1, 0), marked(F.array_distinct("_tokens"), 0, 1))
     counts = explode_once(made, [group], listed, "t").select(group, "t.*")
-    both = counts.groupBy(group, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df_group"))
+    sums = counts.groupBy(group, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df_group"))
+    both = set_down(sums, "group-terms")
     df = both.groupBy("term").agg(F.sum("df_group").alias("df"))
     scored = both.join(df, "term").withColumn("idf", _idf(total))
     scored = scored.withColumn("score", F.round(F.col("tf") * F.col("idf"), 6))

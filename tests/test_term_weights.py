@@ -1,7 +1,7 @@
 """Term weights against plain counts; the tokens are made once, whatever reads them."""
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,3 +55,14 @@ def test_feature_tokens_split_without_capitals(spark):
     plan = spark.createDataFrame([("a",)], "text string").select(t.feature_tokens("text"))
     plan = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "A-Z" not in plan
+
+
+def test_top_terms_make_tokens_once(counted_tokens):
+    docs, calls = counted_tokens
+    got = {(r.lang, r.term): (r.tf, r.df, r.score) for r in features.top_terms_by_group(docs, "lang", k=9).collect()}
+    known, tf = idfs(), defaultdict(int)
+    for _, lang, text in DOCS:
+        for w in text.split():
+            tf[lang, w] += 1
+    assert got == {(g, w): (n, known[w][0], round(n * known[w][1], 6)) for (g, w), n in tf.items()}
+    assert calls.value == len(DOCS)
