@@ -39,7 +39,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Texts without words are in no group and all stay.
     """
-    return minhash.keep(docs)
+    # What sends texts to Python is written in here.
+    with small_batches(spark):
+        return minhash.keep(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row; the ids as little-endian 32-bit integers."""
-    return tokens.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    with small_batches(spark):
+        ids = tokens.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+        return written(ids, "pipeline-ids")
 
 
 STAGES = [

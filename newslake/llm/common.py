@@ -46,13 +46,24 @@ def rows_of_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
+    schema: str | StructType,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Run a function over Arrow batches, one after the other."""
+    """Run a function over Arrow batches, one after the other, and ``done`` at the end of a task.
+
+    A Python worker lives on: what a task leaves there takes memory from the next stages.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from function(batch)
+        try:
+            for batch in batches:
+                yield from function(batch)
+        finally:
+            if done is not None:
+                done()
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -62,6 +62,11 @@ class WordHashes(dict):
 WORD_HASHES = WordHashes()
 
 
+def forget() -> None:
+    """Called at the end of a task."""
+    WORD_HASHES.clear()
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * _MIX
     return values ^ (values >> np.uint64(29))
@@ -180,7 +185,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     docs = pick(df, id=id_col, text=text_col)
     schema = f"id {dict(docs.dtypes)['id']}, n long, shape binary, short array<long>"
-    signed = write(map_batches(docs, _signatures, schema), "signatures")
+    signed = write(map_batches(docs, _signatures, schema, forget), "signatures")
     rows = spark.read.parquet(signed)
     classes = (
         rows.filter("n > 0 AND id IS NOT NULL")
@@ -195,7 +200,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = met.select("id").distinct().hint("merge")
     texts = docs.join(named, "id", "left_semi")
     # Of rows that share an id some may be without a text; their empty sets link with nothing.
-    full = map_batches(texts, _sets, f"id {dict(docs.dtypes)['id']}, items array<long>").filter(F.size("items") > 0)
+    full = map_batches(texts, _sets, f"id {dict(docs.dtypes)['id']}, items array<long>", forget).filter(F.size("items") > 0)
     sets = write(full, "sets")
     sets = spark.read.parquet(sets)
     stars = (
