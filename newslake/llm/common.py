@@ -79,8 +79,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no more than the step that reads it.
+    Names that clash do no harm.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
+    places = by_place(df)
+    return df.sparkSession.read.schema(places.schema).parquet(write(places, name)).toDF(*df.columns)
 
 
 @contextmanager
