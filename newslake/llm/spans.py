@@ -6,8 +6,10 @@ coarse cuts: the characters after which both have a token end.  Only where both
 characters into tokens, a segment is cut further, by the bytes that the tokens decode to.
 
 No token of either goes from a character that is no white space to a space, so a text is the
-sequence of its words, each with the space before it.  Words that a task has not met yet
-are aligned together, as one text; the others are looked up.
+sequence of its words, each with the space before it.  Words are cut further where no token
+of either goes from a letter to the sign behind it, or to a line end.  Such units recur more
+often than words with their signs.  Units that a task has not met yet are aligned together,
+as one text; the others are looked up.
 
 How many documents hold a linked pair is counted over the whole corpus.  Documents go into
 blocks of bounded size; a block has each of its pairs once, so what is shuffled, counted
@@ -26,27 +28,29 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from newslake.llm.common import pick, written
-from newslake.llm.tokens import SPACE, Recent
+from newslake.llm.tokens import SPACE
 
-#: Characters of texts that a task works on together, and of unknown words aligned as one text.
+#: Characters of texts that a task works on together, and of unknown units aligned as one text.
 SLICE_CHARS, JOINED_CHARS = 1 << 18, 1 << 17
-#: Words of a task that are remembered, at most twice so many.
-KNOWN_WORDS = 200_000
+#: Units of a task that are remembered, at most twice so many and those of one slice.
+KNOWN_UNITS = 200_000
+#: Longer units are not remembered.
+KNOWN_CHARS = 64
 #: Pairs of documents in a block (a document is never split).
 BLOCK_PAIRS = 1 << 21
-#: Texts are cut into words before each space that follows no white space; no token of
-#: either tokenizer goes over such a place.
+#: A space that follows no white space: no token of either tokenizer goes over the place before it.
 BORDER = re.compile(f"(?<=[^{SPACE}]) ")
-#: Where a text has this, not each of its spaces is such a place.
-RUN = re.compile(f"[{SPACE}] |^ ")
-#: Comes before joined words, so that the space which B adds is never part of one.
-HEAD = "x"
+#: Letters behind which words may be cut, and the signs before which they may.
+LETTER, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Comes before units aligned together and ends in a letter, as what stands before a sign does.
+HEAD = " x"
 
 _FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -57,6 +61,21 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a[b[np.minimum(at, len(b) - 1)] == a] if len(b) else b
 
 
+def unit_pattern(tokens: Iterable[bytes]) -> re.Pattern[str]:
+    """Finds the units of a text that begins with a space, one behind the other.
+
+    A unit ends before a space, and where no token goes over the place: before a line end,
+    and between a letter and a sign.  White space before that is part of it.
+    """
+    texts = [token.decode("utf-8", "replace") for token in tokens]
+    after_letter = set("".join(itertools.chain.from_iterable(re.findall(f"(?<=[{LETTER}])[^{LETTER}]", t) for t in texts)))
+    signs = "".join(re.escape(c) for c in SIGNS if c not in after_letter)
+    ends = " " if any(re.search(f"[^{SPACE}]\n", t) for t in texts) else " \n"
+    inside = re.sub(f"[{ends}]", "", "".join(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001))))))
+    rest = f"[^{SPACE}{LETTER}]*[{LETTER}]*"
+    return re.compile(f"[{SPACE}]*{rest}(?:(?:[^{SPACE}{LETTER}{signs}]|[{inside}][{SPACE}]*){rest})*")
+
+
 def byte_of_character() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for.
 
@@ -69,7 +88,7 @@ def byte_of_character() -> dict[str, int]:
 
 
 class Aligner:
-    """Both tokenizers, and the words aligned of late."""
+    """Both tokenizers, and the units aligned of late."""
 
     def __init__(self, a_json: str, b_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
@@ -93,7 +112,10 @@ class Aligner:
         numbers_a, numbers_b = (list(map(str, range(len(v)))) for v in (self.bytes_a, self.bytes_b))
         self._said = [n + end for v, ends in ((numbers_a, ",|"), (numbers_b, ".;")) for end in ends for n in v]
         self._said_length = np.array(list(map(len, self._said)), "i8")
-        self._known = Recent(KNOWN_WORDS)
+        self._units = unit_pattern([*self.bytes_a, *self.bytes_b]).findall
+        # The text of a unit's groups, and the keys of its links; None if its bytes don't fit.
+        self._said_of, self._keys_of = {}, {}
+        self._older: tuple[dict, dict] = ({}, {})
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -106,8 +128,9 @@ class Aligner:
         """
         raw = text.encode()
         encoding = self.a.encode(text, add_special_tokens=False)
-        pieces = self.b.encode(text[1:], return_type="proto").pieces
-        list_a, list_b = encoding.ids, [p.id for p in pieces]
+        # Given bytes, the spans are in bytes too.
+        found = self.b.encode(raw[1:], return_type="offset_mapping")
+        list_a, list_b = encoding.ids, found["ids"]
         if b"".join(map(self.bytes_a.__getitem__, list_a)) != raw or b"".join(map(self.bytes_b.__getitem__, list_b)) != raw:
             return None
         ids_a, ids_b = np.array(list_a, "i8"), np.array(list_b, "i8")
@@ -119,7 +142,7 @@ class Aligner:
         end_a = spans[:, 1]
         whole_a = np.append(spans[1:, 0] >= end_a[:-1], True)
         # B's spans leave the added space out; the bytes of a character but the last have no width.
-        end_b = np.fromiter([p.end for p in pieces], "i8", len(list_b)) + 1
+        end_b = np.fromiter([end for _, end in found["offsets"]], "i8", len(list_b)) + 1
         whole_b = np.diff(end_b, prepend=0) > 0
         ending = np.flatnonzero(whole_b)
         end_b = end_b[ending[np.searchsorted(ending, np.arange(len(end_b)))]]
@@ -168,50 +191,67 @@ class Aligner:
         borders = zip([0, *said_upto], said_upto, [0, *links_upto], links_upto, strict=False)
         return [(said[a : b - 1], keys[c:d]) for a, b, c, d in borders]
 
-    def _learn(self, words: list[str]) -> Iterable[tuple[str, tuple | None]]:
-        """Words with what there is to know of them; None for those whose bytes don't fit."""
-        parts = self._parts(" " + " ".join([HEAD, *words]), [1 + len(w.encode()) for w in (HEAD, *words)])
+    def _learn(self, units: list[str], head: bool) -> None:
+        """Align units as one text; with ``head`` each follows a letter, else only the first does."""
+        step = 2 if head else 1
+        joined = [HEAD, *units] if not head else [part for unit in units for part in (HEAD, unit)]
+        parts = self._parts("".join(joined), [len(part.encode()) for part in joined])
         if parts is not None:
-            yield from zip(words, parts[1:], strict=True)
-        elif len(words) > 1:
-            half = len(words) // 2
-            yield from self._learn(words[:half])
-            yield from self._learn(words[half:])
+            said, keys = zip(*parts[1::step], strict=True)
+            self._said_of.update(zip(units, said, strict=True))
+            self._keys_of.update(zip(units, keys, strict=True))
+        elif len(units) > 1:
+            half = len(units) // 2
+            self._learn(units[:half], head)
+            self._learn(units[half:], head)
         else:
-            yield words[0], None
+            self._said_of[units[0]] = self._keys_of[units[0]] = None
+
+    def _look_up(self, units: set[str]) -> list[str]:
+        """Have all units known; those that are not to be remembered."""
+        missing = units.difference(self._said_of)
+        said, keys = self._older
+        unknown = missing.difference(said)
+        for unit in missing - unknown:
+            self._said_of[unit], self._keys_of[unit] = said[unit], keys[unit]
+        # White space ends a text; no unit of another one must come behind it.
+        batches = {True: [], False: []}
+        sizes = {True: 0, False: 0}
+        for unit in unknown:
+            if unit[-1].isspace():
+                self._learn([unit], False)
+                continue
+            head = unit[0] not in " \n"
+            batches[head].append(unit)
+            sizes[head] += len(unit)
+            if sizes[head] >= JOINED_CHARS:
+                self._learn(batches[head], head)
+                batches[head], sizes[head] = [], 0
+        for head, batch in batches.items():
+            if batch:
+                self._learn(batch, head)
+        return [unit for unit in unknown if len(unit) > KNOWN_CHARS or self._said_of[unit] is None]
 
     def align(self, texts: list[str | None]) -> list[tuple[str, np.ndarray, list[int]]]:
         """Per text: its groups, the keys of all links, and the four figures."""
-        split = [(BORDER.split(t) if RUN.search(t) else t.split(" ")) if t else [] for t in texts]
-        words = dict.fromkeys(itertools.chain.from_iterable(split))
-        table, unknown = {}, []
-        for word in words:
-            found = self._known.get(word) or self._known.recall(word)
-            if found is None:
-                unknown.append(word)
-            else:
-                table[word] = found
-        batch, chars = [], 0
-        for place, word in enumerate(unknown):
-            batch.append(word)
-            chars += len(word)
-            # White space ends a text; no word of another one must come behind it.
-            if chars >= JOINED_CHARS or word[-1:].isspace() or not word or place + 1 == len(unknown):
-                for known, found in self._learn(batch):
-                    table[known] = found
-                    if found is not None and len(known) <= 64:
-                        self._known.keep(known, found)
-                batch, chars = [], 0
-        unfit = {word for word, found in table.items() if found is None} if None in table.values() else set()
+        # The last one found is empty.
+        split = [self._units(" " + t)[:-1] if t else [] for t in texts]
+        passing = self._look_up(set().union(*split))
+        unfit = {unit for unit in passing if self._said_of[unit] is None}
         out = []
-        for words in split:
-            if not words or not unfit.isdisjoint(words):
+        for units in split:
+            if not units or (unfit and not unfit.isdisjoint(units)):
                 out.append(("", np.empty(0, self.key), [0, 0, 0, 0]))
                 continue
-            groups, keys = zip(*map(table.__getitem__, words), strict=True)
-            said, links = ";".join(groups), np.frombuffer(b"".join(keys), self.key)
+            said = ";".join(map(self._said_of.__getitem__, units))
+            links = np.frombuffer(b"".join(map(self._keys_of.__getitem__, units)), self.key)
             n = said.count(";") + 1
             out.append((said.replace(".", ","), links, [n + said.count(","), n + said.count("."), n, len(links)]))
+        for unit in passing:
+            del self._said_of[unit], self._keys_of[unit]
+        if len(self._said_of) >= KNOWN_UNITS:
+            self._older = self._said_of, self._keys_of
+            self._said_of, self._keys_of = {}, {}
         return out
 
 
@@ -227,9 +267,9 @@ def aligner(a_json: str, b_model: bytes) -> Aligner:
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows with about ``SLICE_CHARS`` characters together, 1,024 at most."""
-    sizes, start, size = batch.column("text").to_pylist(), 0, 0
-    for i, text in enumerate(sizes):
-        size += len(text or "")
+    sizes, start, size = pc.utf8_length(batch.column("text")).to_pylist(), 0, 0
+    for i, chars in enumerate(sizes):
+        size += chars or 0
         if size >= SLICE_CHARS or i - start == 1023:
             yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
@@ -254,7 +294,7 @@ def align(
     Texts that are null or empty, or whose tokens of A or B don't decode to a space and the
     text, have no tokens: figures of 0, empty texts and bytes.  Null ids stay null; repeated
     rows are aligned one by one; an empty table gives an empty one; other columns are left
-    out, whatever their names.  Texts of any length are worked on word by word; one word
+    out, whatever their names.  Texts of any length are worked on unit by unit; one text
     is held in memory as a whole.  The tokenizers' files are read on the driver and
     travel with the tasks (a few MB).  Neither may have tokens that join a word to a
     space behind it, which is checked.

@@ -102,3 +102,47 @@ def test_edges_blocks_and_repeats(spark, tools, monkeypatch):
         assert found(queries.QUERIES["op12_spans"](spark, "")) == expected(rows, tools)
     monkeypatch.setattr(queries, "table", lambda *_: cases.empty(df))
     assert found(queries.QUERIES["op12_spans"](spark, "")) == []
+
+
+def test_known_words_are_not_aligned_again_with_other_signs():
+    made = spans.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    made.align(["erntly tionoire élève x, x. x! x\nIt x.\nIt x($) x"])
+    aligned, groups = [], made.groups
+    made.groups = lambda text: aligned.append(text) or groups(text)
+    made.align(["erntly, tionoire! élève\nIt tionoire.\nIt erntly($) élève"])
+    assert aligned == []
+
+
+CUT = [
+    "don't 'tis a'b rock'n'roll WE'LL,it's", "a.b,c  d.\nE\n\nf.\n\n\ng \nh\n i\r\nj.\t k\xa0l. m", "a.\u0301 e\u0301. <\u0338 a<\u0338",
+    "x<s>y a<|endoftext|>b.c </s>. a|b", "v1.2 3,4a é9. ß! ÿ? ×÷a×b a×.", "end.\n", "end. ", "\n\nx.", ".x", ",", "a,", "日本.語a。b.c", "a...b!?c--d$$$",
+    "https://a.example/b?c=d&e#f user_name@x", "x\u2028y\x85z\x1cw.\x00v", "A" * 70 + "." + "b" * 70,
+]
+
+
+def test_units_equal_brute_force(tools):
+    made = spans.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    texts = [*CUT, *CUT[::-1], " ".join(CUT), "\n".join(CUT), ".".join(TEXTS[1:])]
+    for text, (said, keys, figures) in zip(texts, made.align(texts), strict=True):
+        groups = brute(text, tools)
+        assert said == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups), text
+        assert figures == [sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), len(keys)]
+
+
+def test_units_end_only_where_no_token_goes_on():
+    def units(text, *tokens):
+        return spans.unit_pattern(tokens).findall(text)[:-1]
+
+    text = " a.b, c\nd.\n  e"
+    assert units(text) == [" a", ".b", ",", " c", "\nd", ".", "\n  e"]
+    assert units(text, b"a.") == [" a.b", ",", " c", "\nd.", "\n  e"]
+    assert units(text, b".\n") == [" a", ".b", ",", " c\nd", ".\n  e"]
+    assert units(text, b"\n.", b",\n", b".a", b" a") == [" a", ".b", ",", " c\nd", ".\n  e"]
+
+
+def test_few_units_remembered(tools, monkeypatch):
+    monkeypatch.setattr(spans, "KNOWN_UNITS", 3)
+    made = spans.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    for text in [*CUT, *TEXTS, *CUT]:
+        ((said, _, _),) = made.align([text])
+        assert said == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in brute(text, tools)), text
