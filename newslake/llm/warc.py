@@ -179,21 +179,20 @@ def _segments(spark: SparkSession, path: str, payloads: bool, every: bool = Fals
 
 
 def _exits(block: pd.DataFrame) -> pd.DataFrame:
-    """Where the successors of every candidate of one block leave it; none if they end inside."""
+    """Where the successors of every candidate of one block leave it; null if they end inside."""
     block = block.sort_values("at")
     last, exits = int(block["at"].iloc[-1]), {}
     for at, following in zip(reversed(block["at"].tolist()), reversed(block["next"].tolist()), strict=True):
         if not pd.isna(following):
-            out = int(following) if following > last else exits.get(int(following))
-            if out is not None:
-                exits[at] = out
-    return pd.DataFrame({"file": block["file"].iloc[0], "block": block["block"].iloc[0], "at": list(exits), "exit": list(exits.values())})
+            exits[at] = int(following) if following > last else exits.get(int(following))
+    whose = {"file": block["file"].iloc[0], "block": block["block"].iloc[0]}
+    return pd.DataFrame({**whose, "at": list(exits), "exit": pd.array(list(exits.values()), "Int64")})
 
 
 def _reached(steps: DataFrame) -> DataFrame:
     """``file, at``: the ends of steps ``(file, at, exit)`` that are reached from 0 of each file.
 
-    In every round what is reached jumps, and all jumps become twice as long, so the
+    Steps without an exit are reached like others, but lead nowhere.  In every round what is reached jumps, and all jumps become twice as long, so the
     rounds grow with the logarithm of the blocks in a file.
     """
     spark = steps.sparkSession

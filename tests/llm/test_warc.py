@@ -74,6 +74,21 @@ def test_a_record_over_many_blocks_and_a_damaged_file(spark, small_blocks):
         assert {r.id for r in warc.read_archives(spark, path).collect()} == whole
 
 
+@pytest.mark.parametrize("size", ["700", "128m"])
+def test_all_records_before_a_damaged_place(spark, small_blocks, size):
+    rows = [(i, None, f"{i}" * 120) for i in range(8)]
+    values = [r.value for r in warc.records_of(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
+    values.sort(key=lambda v: v.split("<urn:page:")[1])
+    small_blocks(size)
+    for place in (1, 2, 5, 7):
+        path = work_dir(spark, "warc-damaged")
+        damaged = [*values[:place], "junk" + values[place], *values[place + 1 :]]
+        lines = spark.createDataFrame(list(enumerate(damaged)), "i int, value string").coalesce(1)
+        warc.write_archives(lines.sortWithinPartitions("i").select("value"), path)
+        found = {r.id: bytes(r.payload).decode() for r in warc.read_archives(spark, path).collect()}
+        assert found == {str(i): html for i, _, html in rows[:place]}
+
+
 def test_edges(spark, monkeypatch):
     rows = [(1, "u", None), (2, "u", ""), (3, None, BIG), (4, "u", BIG), (None, "u", BIG), (None, None, None), (5, "u", "short"), (6, "u", "short")]
     rows += [(3, "u", BIG), (7, "u", "é" * 50), (8, "u", "é" * 50), (9, "u", "é" * 49), (10, "u", "é" * 49), (11, "u", "long " * 60_000)]
