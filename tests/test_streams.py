@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from newslake import session
 from newslake.catalog import QUERIES
 from newslake.catalog.streams import in_parts
 from newslake.schemas import ITEM_MESSAGE
@@ -187,3 +188,19 @@ def test_streams_in_parts_keep_few_state_stores(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", given)
     assert seen == [2 * spark.sparkContext.defaultParallelism] * 5 + [3] * 5
+
+
+def test_a_batch_leaves_only_its_packed_sinks(spark, tmp_path, monkeypatch):
+    held = tmp_path / "held"
+    monkeypatch.setattr(session, "work_dir", lambda _, name: f"{held}/{name}")
+    log = ArticleLog(spark, f"{tmp_path}/store")
+    job = EnrichmentJob(log, pages(spark), f"{tmp_path}/cleaned", f"{tmp_path}/alerts")
+    job.run_batch(spark.createDataFrame([(None, message(0, "a")), (None, message(1, "b"))], KEYED), 0)
+    assert not list(held.glob("*/*"))
+    for sink, kind in (("store/changes", "*.zstd.parquet"), ("cleaned", "*.json.gz")):
+        files = [f for f in (tmp_path / sink / "batch=0").glob("part-*")]
+        assert files and all(f.match(kind) for f in files)
+    # Without a base there is nothing to update, so texts are folded once and not joined.
+    plan = log.current()._jdf.queryExecution().optimizedPlan().toString()
+    assert "any_full_content" in plan and "LogicalRDD" not in plan and "LeftOuter" not in plan
+    assert log.current().count() == 2
